@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, topk, warc
+from . import decontaminate, near_dedup, packing, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), spark).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -37,5 +41,6 @@ QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_packing": op3_packing,
     "op7_decontamination": op7_decontamination,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_warc": op10_warc,
 }
