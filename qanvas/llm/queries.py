@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dedup, packing, quality, topk, warc
+from . import decontaminate, near_dedup, packing, quality, topk, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("evidence")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -45,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
+    "op6_toxicity": op6_toxicity,
     "op7_decontamination": op7_decontamination,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_warc": op10_warc,
