@@ -22,8 +22,11 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
+from array import array
 from dataclasses import dataclass
+from itertools import filterfalse
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from .common import map_arrow, text_bytes
@@ -31,6 +34,10 @@ from .common import map_arrow, text_bytes
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
+#: ASCII punctuation without the apostrophe, which may begin a token together with letters.
+PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -38,27 +45,69 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """bytes of a text -> little-endian uint32 ids as bytes, the same as encoding the whole text."""
+    """bytes of a text -> little-endian uint32 ids as bytes, the same as encoding the whole text.
+
+    A word that ends in ASCII punctuation after an ASCII letter or digit is put together from its core and its tail
+    (the tokenizer splits there too), and purely alphabetic words are encoded many to a call: each is one run of
+    letters, so it ends at the next id that ends a word. Case of A-Z does not matter to the tokenizer; texts that may
+    hold a special token are left as they are.
+    """
 
-    def __init__(self, path: str, max_words: int = 500_000) -> None:
+    def __init__(self, path: str, max_words: int = 800_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.max_words, self.known = Tokenizer.from_file(path), max_words, {}
+        self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
+        self.known: dict[bytes, bytes] = {}
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends_word[i] = token.endswith("</w>")
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[bytes]) -> None:
+        single = []
+        letters = []
+        for w in words:
+            (letters if (t := w.decode()).isalpha() else single).append((w, t))
+        for at in range(0, len(letters), 2_000):
+            part = letters[at : at + 2_000]
+            ids = np.array(self._ids([" ".join(t for _, t in part)])[0], dtype="<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):  # a letter that the tokenizer takes apart
+                single += part
+                continue
+            data, start = ids.tobytes(), 0
+            for (w, _), end in zip(part, (4 * ends).tolist(), strict=True):
+                self.known[w] = data[start:end]
+                start = end
+        for at in range(0, len(single), 10_000):
+            part = single[at : at + 10_000]
+            for (w, _), ids in zip(part, self._ids([t for _, t in part]), strict=True):
+                self.known[w] = array("I", ids).tobytes()
 
     def learn(self, texts: list[list[bytes]]) -> None:
-        new = set().union(*texts) - self.known.keys()
+        new = list(filterfalse(self.known.__contains__, set().union(*texts)))
         if len(self.known) + len(new) > self.max_words:
             self.known.clear()
-            new = set().union(*texts)
-        ordered = list(new)
-        for at in range(0, len(ordered), 20_000):
-            part = ordered[at : at + 20_000]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[word] = b"".join(i.to_bytes(4, "little") for i in got.ids)
+            new = list(set().union(*texts))
+        composed, atoms = [], set()
+        for w in new:
+            core = w.rstrip(PUNCTUATION)
+            if len(core) < len(w) and core and core[-1] < 128 and core[-1:].isalnum() and b"<|" not in w:
+                composed.append((w, core, tail := w[len(core) :]))
+                atoms.add(core)
+                atoms.add(tail)
+            else:
+                atoms.add(w)
+        self._encode_words(list(filterfalse(self.known.__contains__, atoms)))
+        known = self.known
+        for w, core, tail in composed:
+            known[w] = known[core] + known[tail]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         self.learn(split)
         return [b"".join(map(self.known.__getitem__, s)) for s in split]
 
