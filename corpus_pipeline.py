@@ -1,3 +1,61 @@
-STAGES, ORACLE_SQL = [], None
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+"""The corpus pipeline: quality, near duplicates, decontamination, secrets, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all that the one before it kept, and returns a DataFrame, which is
+written as Parquet and read again as the next one's docs. All but the last keep the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from qanvas.llm import decontaminate, near_dedup, packing, quality, secrets
+from qanvas.llm.common import fresh_path
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine rejects go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document of smallest id stays."""
+    return near_dedup.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Credentials are replaced in the texts; documents stay."""
+    return secrets.redact(docs)
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a training sequence."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scans", secret_scans),
+    ("packing", packed_sequences),
+]
+
+#: The models of the first and fourth stage are trained, so SQL can't express the rows; tests use a brute-force version.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what each returns is written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = fresh_path(spark, "pipeline")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{i}-{name}")
+            docs = spark.read.parquet(f"{folder}/{i}-{name}")
+    return docs

@@ -7,9 +7,10 @@ every token, the total N and the number V of distinct tokens, over all training
 
 Model: the next token's class (the `classes` most frequent tokens, or one class for all others) has the score
 (C1 r[w-1] + C2 r[w-2]) . q[w] + b[w]. Noise-contrastive estimation against the class unigram, with noise words shared
-by a minibatch so that scores and gradients are matrix products, trains a replica in every task over all its training
-documents, from the same start; the replicas are averaged, weighted by their tokens (grouped sums, so what is gathered
-is a model a task, and what comes to the driver one model). With two context words there are classes^2 contexts:
+by a minibatch so that scores and gradients are matrix products, first trains a start model on about `seed_docs` documents
+(in one task), then a replica of it in every task over all the training documents of that task; the replicas are
+averaged, weighted by their tokens (grouped sums, so what is gathered is a model a task, and what comes to the driver
+one model). With two context words there are classes^2 contexts:
 log-normalisers of all of them come from batched matrix products once, and a token's normalised log-probability is a
 dot product less a look-up. Tokens of the rest class are split by their counts, (c + 1) / (N_rest + V_rest + 1), which
 leaves one share for tokens never seen; so the model is a distribution over all tokens.
@@ -55,8 +56,9 @@ class LogBilinear:
         self.q = rng.normal(0, 0.1, (n, dim)).astype(np.float32)
         self.c = np.stack([np.eye(dim), 0.5 * np.eye(dim)]).astype(np.float32)
         self.b = np.log(unigram).astype(np.float32)
+        self.start_squares()
 
-    def train(self, w: np.ndarray, w1: np.ndarray, w2: np.ndarray, rng, noise: int = 24, rate: float = 0.15) -> None:
+    def train(self, w: np.ndarray, w1: np.ndarray, w2: np.ndarray, rng, noise: int = 64, rate: float = 0.1) -> None:
         """One minibatch of next classes and their contexts."""
         n, k = len(w), len(self.unigram)
         drawn = np.searchsorted(self._cumulative(), rng.random(noise)).astype(np.int64)
@@ -73,13 +75,18 @@ class LogBilinear:
         dr = _sum_rows(w1, dh @ self.c[0], k + 1) + _sum_rows(w2, dh @ self.c[1], k + 1)
         dc = np.stack([dh.T @ r1, dh.T @ r2]) / n
         for name, grad in (("q", dq), ("b", db), ("r", dr), ("c", dc)):
-            square = self._squares.setdefault(name, np.full(grad.shape, 1e-3, dtype=np.float32))
+            square = self.squares[name]
             square += grad**2
             getattr(self, name)[...] += (rate if name != "c" else rate / 10) * grad / np.sqrt(square)
 
-    @property
-    def _squares(self) -> dict[str, np.ndarray]:
-        return self.__dict__.setdefault("squares", {})
+    def start_squares(self, flat: np.ndarray | None = None) -> LogBilinear:
+        """Adagrad's sums of squares, from the start or from a model that went on before."""
+        self.squares, at = {}, 0
+        for n in self.NAMES:
+            x = getattr(self, n)
+            self.squares[n] = np.full(x.shape, 1e-3, dtype=np.float32) if flat is None else flat[at : at + x.size].reshape(x.shape).astype(np.float32)
+            at += x.size
+        return self
 
     def _cumulative(self) -> np.ndarray:
         if "sums" not in self.__dict__:
@@ -196,34 +203,48 @@ def _lots(batches, known: Vocabulary, lot: int = 200_000):
             at = stop
 
 
-def train(docs: DataFrame, known: Vocabulary, minibatch: int = 2048, dim: int = 16, rounds: int = 1) -> LogBilinear:
+def _replicas(docs: DataFrame, known: Vocabulary, model: LogBilinear, minibatch: int, dim: int, seed: int) -> DataFrame:
+    """A replica of the model from every task that has documents: part, tokens, sums (parameters times tokens), squares."""
     spark = docs.sparkSession
+    squares = np.concatenate([model.squares[n].ravel() for n in model.NAMES])
+    start, known_ = spark.sparkContext.broadcast((model.parameters(), squares)), spark.sparkContext.broadcast(known)
+
+    def per_task(batches):
+        known, rng, seen = known_.value, np.random.default_rng(seed), 0
+        own = LogBilinear(known.unigram, dim).load(start.value[0]).start_squares(start.value[1])
+        for _, _, _, _, numbers, ends in _lots(batches, known):
+            w = known.class_of(numbers)
+            w1, w2 = contexts(w, ends, known.classes + 1)
+            order = rng.permutation(len(w))
+            for at in range(0, len(w), minibatch):
+                part = order[at : at + minibatch]
+                own.train(w[part], w1[part], w2[part], rng)
+            seen += len(w)
+        if seen:
+            flat = own.parameters().astype(np.float64) * seen
+            squares = np.concatenate([own.squares[n].ravel() for n in own.NAMES]).astype(np.float64) * seen
+            at = range(0, len(flat), 1024)
+            yield {"part": list(at), "tokens": [seen] * len(at), "sums": [flat[i : i + 1024].tolist() for i in at], "squares": [squares[i : i + 1024].tolist() for i in at]}
+
+    return map_arrow(docs, ["text"], per_task, "part int, tokens bigint, sums array<double>, squares array<double>")
+
+
+def _averaged(replicas: DataFrame, model: LogBilinear) -> LogBilinear:
+    each = replicas.select("part", "tokens", F.posexplode(F.arrays_zip("sums", "squares")).alias("i", "x"))
+    added = each.groupBy("part", "i").agg((F.sum("x.sums") / F.sum("tokens")).alias("mean"), (F.sum("x.squares") / F.sum("tokens")).alias("square"))
+    flat, squares = model.parameters(), np.concatenate([model.squares[n].ravel() for n in model.NAMES])
+    for r in added.collect():
+        flat[r["part"] + r["i"]], squares[r["part"] + r["i"]] = r["mean"], r["square"]
+    return model.load(flat).start_squares(squares)
+
+
+def train(docs: DataFrame, known: Vocabulary, minibatch: int = 1024, dim: int = 16, seed_docs: int = 2_000) -> LogBilinear:
     model = LogBilinear(known.unigram, dim)
-    for round_ in range(rounds):
-        start, vocabulary_ = spark.sparkContext.broadcast(model.parameters()), spark.sparkContext.broadcast(known)
-
-        def per_task(batches, start=start, vocabulary_=vocabulary_, round_=round_):
-            known, rng, seen = vocabulary_.value, np.random.default_rng(1 + round_), 0
-            own = LogBilinear(known.unigram, dim).load(start.value)
-            for _, _, _, _, numbers, ends in _lots(batches, known):
-                w = known.class_of(numbers)
-                w1, w2 = contexts(w, ends, known.classes + 1)
-                order = rng.permutation(len(w))
-                for at in range(0, len(w), minibatch):
-                    part = order[at : at + minibatch]
-                    own.train(w[part], w1[part], w2[part], rng)
-                seen += len(w)
-            if seen:
-                flat = own.parameters().astype(np.float64) * seen
-                yield {"part": list(range(0, len(flat), 1024)), "tokens": [seen] * (-(-len(flat) // 1024)), "sums": [flat[i : i + 1024].tolist() for i in range(0, len(flat), 1024)]}
-
-        each = map_arrow(docs, ["text"], per_task, "part int, tokens bigint, sums array<double>")
-        added = each.select("part", "tokens", F.posexplode("sums").alias("i", "x")).groupBy("part", "i").agg((F.sum("x") / F.sum("tokens")).alias("x"))
-        flat = model.parameters()
-        for r in added.collect():
-            flat[r["part"] + r["i"]] = r["x"]
-        model.load(flat)
-    return model.normalise()
+    # Documents number about as many as end tokens were counted.
+    every = max(1, int(known.count[known.number[END]]) // seed_docs)
+    few = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text").repartition(1)
+    model = _averaged(_replicas(few, known, model, minibatch // 2, dim, 1), model)
+    return _averaged(_replicas(docs, known, model, minibatch, dim, 2), model).normalise()
 
 
 SCORED = (
