@@ -81,19 +81,24 @@ def multiple_choice(c: Column | str, anchored: bool = True) -> Column:
     letter = F.coalesce(_group(x, r"\*\*Answer:\*\*\s*([ABCD])"), _group(x, r"Answer:\s*([ABCD])"))
     at, mark = ("(?:^|\\n)\\s*", "[:.]") if anchored else ("", "[:.]?")
     next_ = {"A": "B", "B": "C", "C": "D"}
-    found = {k: strip(_group(block, rf"(?s){at}{k}{mark}\s*(.*?)\s*" + (rf"\n\s*{next_[k]}{mark}" if k in next_ else r"$"))) for k in "ABCD"}
-    by_line = {k: strip(_group(block, rf"(?m)^\s*{k}[:.](.*)$")) for k in "ABCD"}
-    rows = lines(block)
-    by_place = {k: strip(F.substr(F.get(rows, F.lit(i)), F.lit(3))) for i, k in enumerate("ABCD")}
-
-    def all_of(options: dict[str, Column]) -> Column:
-        out = F.lit(True)
-        for v in options.values():
-            out = out & v.isNotNull()
-        return out
-
-    options = {k: F.when(all_of(found), found[k]).when(all_of(by_line), by_line[k]).when(F.size(rows) >= 4, by_place[k]) for k in "ABCD"}
-    return _record(question.isNotNull() & all_of(options) & letter.isNotNull(), question=strip(question), **{f"option_{k.lower()}": v for k, v in options.items()}, correct_answer=letter)
+
+    def options(b: Column) -> Column:
+        """Three ways to read the block, each an array; the first that has all four options."""
+        found = F.array(*[strip(_group(b, rf"(?s){at}{k}{mark}\s*(.*?)\s*" + (rf"\n\s*{next_[k]}{mark}" if k in next_ else r"$"))) for k in "ABCD"])
+        by_line = F.array(*[strip(_group(b, rf"(?m)^\s*{k}[:.](.*)$")) for k in "ABCD"])
+        by_place = F.transform(F.slice(lines(b), 1, 4), lambda r: strip(F.substr(r, F.lit(3))))
+        return F.get(F.filter(F.array(found, by_line, by_place), lambda o: (F.size(o) == 4) & F.forall(o, lambda v: v.isNotNull())), F.lit(0))
+
+    fields = F.struct(strip(question).alias("question"), _once(block, options).alias("options"), letter.alias("letter"))
+    return _once(fields, lambda f: _record(
+        f["question"].isNotNull() & f["options"].isNotNull() & f["letter"].isNotNull(), question=f["question"],
+        **{f"option_{k.lower()}": F.get(f["options"], F.lit(i)) for i, k in enumerate("ABCD")}, correct_answer=f["letter"],
+    ))
+
+
+def _once(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
 def _plain(c: Column) -> Column:
