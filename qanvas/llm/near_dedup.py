@@ -3,13 +3,18 @@
 Plan (nothing is collected; each step that is used twice is written to the shared folder):
 1. One pass over the texts gives each a key (digest of its words) and its band hashes. Texts with equal words are one
    node from here on, so groups of exact copies cost one row each.
-2. Buckets with two nodes or more get a pivot, their smallest key, by a partial aggregate; every member is verified
-   against the pivot only (a star, not all pairs). Shingle multisets are built for the nodes that need them.
-3. Components of the verified stars. Buckets whose members now lie in one component are done, whatever their size.
-4. In the other buckets, pairs across components are verified, without those that the pivot rules out: weighted Jaccard
-   distance is a metric, so two members whose distances to the pivot differ by more than 0.2 can't be within 0.2.
+2. Shingle multisets are built for the nodes that share a band with another, and the weight that each has in shingles
+   of no other such node is summed. What is left, its shareable weight, bounds its similarity to anything: a node with
+   under 0.8 of its weight shareable has no link and leaves.
+3. Each band's nodes get a pivot, the one with the largest shareable share (a text that others were copied from has
+   most), by a partial aggregate; every member is verified against the pivot only (a star, not all pairs).
+4. Components of the verified stars. Bands whose members now lie in one component are done, whatever their size.
+5. In the other bands, pairs across components are verified, but for those that are ruled out exactly: weighted Jaccard
+   distance is a metric, so two members whose distances to the pivot differ by more than 0.2 can't be within 0.2; and
+   two members share at most min(s, s') of their weights w + w', where s now leaves out the shingles that lie within
+   one component, and at most min(i, i') + min(r, r'), where i is shared with the pivot and r is the shareable rest.
    So every pair that shares a band is linked, verified, or ruled out exactly; there is no cap.
-5. Components of all links; the class of a document is the smallest doc_id of its component.
+6. Components of all links; the class of a document is the smallest doc_id of its component.
 
 With 24 bands of 4 registers a pair of similarity 0.8 shares no band with probability 3e-6.
 
@@ -29,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import ALNUM, cut, map_arrow, text_bytes
 from .components import components
-from .shingles import band_hashes, overlap, pack_multiset, shingle_runs, signatures
+from .shingles import band_hashes, overlap, pack_multiset, shingle_runs, signatures, unpack_multiset
 
 BANDS, ROWS = 24, 4
 CHUNK_BYTES = 2_000_000
@@ -70,7 +75,7 @@ def sketch(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = ROWS)
 
 
 def _multisets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """(key, multiset) of the nodes in needed (key, doc_id)."""
+    """(nid, multiset, weight) of the nodes in needed (nid, key, doc_id)."""
     ids = needed.select(F.col("doc_id").alias("__id")).distinct()
     few = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
@@ -81,53 +86,102 @@ def _multisets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
                 part = texts[at:stop]
                 doc, shingles, counts = shingle_runs(part, size)
                 edge = np.searchsorted(doc, np.arange(len(part) + 1))
-                yield {"key": [node_key(t) for t in part], "multiset": [pack_multiset(shingles[a:b], counts[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]}
+                yield {
+                    "key": [node_key(t) for t in part], "weight": np.bincount(doc, weights=counts, minlength=len(part)).astype(np.int64),
+                    "multiset": [pack_multiset(shingles[a:b], counts[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)],
+                }
 
-    return map_arrow(few, ["text"], per_task, "key binary, multiset binary").dropDuplicates(["key"])
+    built = map_arrow(few, ["text"], per_task, "key binary, multiset binary, weight bigint")
+    return built.join(needed.select("key", "nid"), "key").select("nid", "multiset", "weight").dropDuplicates(["nid"])
+
+
+def _shingle_rows(multisets: DataFrame) -> DataFrame:
+    """(nid, shingle, c) of the multisets."""
+
+    def per_task(batches):
+        for batch in batches:
+            for nid, data in zip(batch.column("nid").to_pylist(), batch.column("multiset").to_pylist(), strict=True):
+                shingles, counts = unpack_multiset(data)
+                yield {"nid": np.full(len(shingles), nid), "shingle": shingles.view(np.int64), "c": counts}
+
+    return map_arrow(multisets, ["nid", "multiset"], per_task, "nid bigint, shingle bigint, c bigint")
+
+
+def _own_weights(multisets: DataFrame) -> DataFrame:
+    """(nid, own): the weight of each node in shingles that no other node has."""
+    alone = _shingle_rows(multisets).groupBy("shingle").agg(F.count("*").alias("n"), F.min("nid").alias("nid"), F.sum("c").alias("c")).where("n = 1")
+    return alone.groupBy("nid").agg(F.sum("c").alias("own"))
+
+
+def _inner_weights(multisets: DataFrame, places: DataFrame) -> DataFrame:
+    """(nid, inner): the weight of each node of places (nid, c) in shingles of no other component than its own c."""
+    rows = _shingle_rows(multisets.join(places.select("nid"), "nid", "left_semi")).join(places.withColumnRenamed("c", "comp"), "nid")
+    rows = cut(rows)
+    inner = cut(rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo = hi").select("shingle"))
+    return rows.join(inner, "shingle", "left_semi").groupBy("nid").agg(F.sum("c").alias("inner"))
 
 
 def _verified(pairs: DataFrame, multisets: DataFrame) -> DataFrame:
     """pairs (a, b) with their similarity."""
-    left = multisets.select(F.col("key").alias("a"), F.col("multiset").alias("x"))
-    right = multisets.select(F.col("key").alias("b"), F.col("multiset").alias("y"))
+    left = multisets.select(F.col("nid").alias("a"), F.col("multiset").alias("x"))
+    right = multisets.select(F.col("nid").alias("b"), F.col("multiset").alias("y"))
 
     def per_task(batches):
         for batch in batches:
             pair = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)
             yield {"a": batch.column("a"), "b": batch.column("b"), "similarity": [overlap(x, y) for x, y in pair]}
 
-    return map_arrow(pairs.join(left, "a").join(right, "b"), ["a", "b", "x", "y"], per_task, "a binary, b binary, similarity double")
+    return map_arrow(pairs.join(left, "a").join(right, "b"), ["a", "b", "x", "y"], per_task, "a bigint, b bigint, similarity double")
+
+
+#: Bits of a node's number; the bits above hold the share that ranks pivots.
+_NID_BITS = 53
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class), key: one row per document."""
     sketched = cut(sketch(docs, size))
-    nodes = cut(sketched.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")))
-    banded = nodes.select("key", F.explode("bands").alias("band"))
-    buckets = cut(banded.groupBy("band").agg(F.min("key").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("band", "pivot"))
-    members = cut(banded.join(buckets, "band").select("band", F.col("key").alias("a"), F.col("pivot").alias("b")))
-    stars = members.where("a <> b").select("a", "b").distinct()
-    wanted = members.select(F.col("a").alias("key")).distinct().join(nodes.select("key", "doc_id"), "key")
+    nodes = sketched.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    nodes = cut(nodes.withColumn("nid", F.monotonically_increasing_id()))
+    banded = nodes.select("nid", F.explode("bands").alias("band"))
+    shared = cut(banded.groupBy("band").count().where("count > 1").select("band"))
+    together = cut(banded.join(shared, "band").select("band", "nid"))
+    wanted = cut(together.select("nid").distinct().join(nodes.select("nid", "key", "doc_id"), "nid"))
     multisets = cut(_multisets(docs, wanted, size))
-    tested = cut(_verified(stars, multisets))
+
+    stats = multisets.select("nid", "weight").join(_own_weights(multisets), "nid", "left").na.fill({"own": 0})
+    able = F.col("weight") - F.col("own")
+    stats = cut(stats.select("nid", "weight", able.alias("able")).where(able >= threshold * F.col("weight") - 1e-9))
+    placed = cut(together.join(stats, "nid"))
+    rank = F.shiftleft(F.floor(1023 * (1 - F.col("able") / F.col("weight"))).cast("long"), _NID_BITS).bitwiseOR(F.col("nid"))
+    pivots = placed.groupBy("band").agg(F.min(rank).alias("rank"), F.count("*").alias("n")).where("n > 1")
+    pivots = pivots.select("band", F.col("rank").bitwiseAND(F.lit((1 << _NID_BITS) - 1)).alias("b"))
+    pivots = cut(pivots.join(stats.select(F.col("nid").alias("b"), F.col("weight").alias("wp")), "b").select("band", "b", "wp"))
+    members = cut(placed.join(pivots, "band").withColumnRenamed("nid", "a"))
+    tested = cut(_verified(members.where("a <> b").select("a", "b").distinct(), multisets))
     links = tested.where(F.col("similarity") >= threshold).select("a", "b")
     stage = components(links)
 
-    # What the stars leave open: members of one bucket in different components that the pivot does not rule out.
-    placed = members.join(tested, ["a", "b"], "left").select("band", "a", F.coalesce("similarity", F.lit(1.0)).alias("s"))
-    placed = placed.join(stage, F.col("a") == F.col("node"), "left").select("band", "a", "s", F.coalesce("component", "a").alias("c"))
-    placed = cut(placed)
-    torn = cut(placed.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band"))
-    rest = cut(placed.join(torn, "band", "left_semi"))
-    x = rest.where(F.col("s") < 1.0).select("band", F.col("a"), F.col("s").alias("sa"), F.col("c").alias("ca"))
-    y = rest.where(F.col("s") < 1.0).select("band", F.col("a").alias("b"), F.col("s").alias("sb"), F.col("c").alias("cb"))
-    near = (F.abs(F.col("sa") - F.col("sb")) <= 1 - threshold + 1e-9) & (F.col("ca") < F.col("cb"))
-    across = x.join(y, "band").where(near).select("a", "b").distinct()
+    # What the stars leave open: members of one band in different components that neither bound rules out.
+    open_ = members.join(tested, ["a", "b"], "left").join(stage, F.col("a") == F.col("node"), "left")
+    s = F.coalesce("similarity", F.lit(1.0))
+    # The weight that a member shares with the pivot, and the shareable rest.
+    with_pivot = s * (F.col("weight") + F.col("wp")) / (1 + s)
+    open_ = cut(open_.select("band", "a", "weight", "able", s.alias("s"), with_pivot.alias("i"), (F.col("able") - with_pivot).alias("r"), F.coalesce("component", "a").alias("c")))
+    torn = cut(open_.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band"))
+    rest = cut(open_.join(torn, "band", "left_semi"))
+    inner = cut(_inner_weights(multisets, rest.select(F.col("a").alias("nid"), "c").distinct()))
+    rest = rest.join(inner, F.col("a") == F.col("nid"), "left").na.fill({"inner": 0}).withColumn("able", F.col("weight") - F.col("inner"))
+    rest = cut(rest.where((F.col("s") < 1.0) & (F.col("able") >= threshold * F.col("weight") - 1e-9)).drop("nid", "inner"))
+    names = ("s", "c", "weight", "able", "i", "r")
+    x, y = (rest.select("band", F.col("a").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in names]) for n in ("a", "b"))
+    most = F.least("able_a", "able_b", F.least("i_a", "i_b") + F.least("r_a", "r_b"))
+    near = (F.abs(F.col("s_a") - F.col("s_b")) <= 1 - threshold + 1e-9) & (most >= threshold * (F.col("weight_a") + F.col("weight_b") - most) - 1e-6)
+    across = x.join(y, "band").where(near & (F.col("c_a") < F.col("c_b"))).select("a", "b").distinct()
     more = _verified(across, multisets).where(F.col("similarity") >= threshold).select("a", "b")
     final = components(links.unionByName(cut(more)))
 
-    own = nodes.join(final, F.col("key") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "key").alias("c"))
-    own = cut(own)
+    own = cut(nodes.join(final, F.col("nid") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "nid").alias("c")))
     first = cut(own.groupBy("c").agg(F.min("doc_id").alias("class_id")))
     classes = cut(own.join(first, "c").select("key", "class_id"))
     return sketched.select("doc_id", "key").join(classes, "key").select("doc_id", "class_id", "key")
