@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, map_arrow, text_bytes
+from .common import ALNUM, map_arrow, shielded, text_bytes
 
 WINDOW = 13
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -66,7 +66,8 @@ def automaton(key: str, block: dict[tuple[bytes, ...], list]) -> tuple:
         for pattern, ids in block.items():
             numbers = tuple(number.setdefault(w, len(number) + 1) for w in pattern)
             found.add_word(numbers, (len(numbers), ids))
-        found.make_automaton()
+        if block:
+            found.make_automaton()
         _built[key] = found, number
     return _built[key]
 
@@ -75,7 +76,7 @@ def hit_words(found, number: dict[bytes, int], data: bytes) -> tuple[int, bytear
     """Word count, a flag for each word (empty if none is hit), and the items whose windows occur."""
     doc = words(data)
     hits, items = bytearray(), set()
-    for end, (length, ids) in found.iter(tuple(map(number.get, doc, repeat(0)))) if doc else ():
+    for end, (length, ids) in found.iter(tuple(map(number.get, doc, repeat(0)))) if doc and number else ():
         hits = hits or bytearray(len(doc))
         hits[end + 1 - length : end + 1] = b"\1" * length
         items.update(ids)
@@ -152,4 +153,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, in their own columns."""
-    return flagged(docs, benchmark).where(~verdict()).drop(*FLAGS)
+    return shielded(docs, ("doc_id", "text"), lambda d: flagged(d, benchmark).where(~verdict()))

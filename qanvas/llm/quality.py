@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import map_arrow, remainder, sigmoid, text_bytes
+from .common import map_arrow, remainder, shielded, sigmoid, text_bytes
 
 WORD_BITS = 18
 STRUCTURE_BINS = 4096
@@ -176,8 +177,6 @@ def with_quality(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] =
     """docs in their own columns, and __score and __predicted."""
     machine = fit(docs, labels, metadata, max_train_rows)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
-    from pyspark.sql import types as T
-
     schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType()), T.StructField("__predicted", T.IntegerType())])
 
     def per_task(batches):
@@ -204,4 +203,4 @@ def classify(docs: DataFrame, labels: DataFrame, metadata: tuple[str, ...] = ("n
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not rejected, in their own columns."""
-    return with_quality(docs, labels).where("__predicted = 1").drop("__score", "__predicted")
+    return shielded(docs, ("doc_id", "text", "n_chars"), lambda d: with_quality(d, labels).where("__predicted = 1"))
