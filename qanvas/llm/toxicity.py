@@ -48,14 +48,6 @@ def forms(word: bytes) -> list[bytes]:
     return [word, *(word[:n] + b" " for n in STEMS if n < len(word))]
 
 
-def terms_of(counts: dict[bytes, int]) -> Counter:
-    out: Counter = Counter()
-    for w, c in counts.items():
-        for t in forms(w):
-            out[t] += c
-    return out
-
-
 def likelihood_ratio(a: np.ndarray, df: np.ndarray, positive: int, n: int) -> np.ndarray:
     """G statistic of term presence (a positive of df) against the label (positive of n)."""
 
@@ -72,28 +64,18 @@ class Index:
     def __init__(self, ids: list[int], texts: list[bytes], y: list[int], k: int = 15, block: int = 64, min_df: int = 3, prior_weight: float = 0.5, every: float = 6.0) -> None:
         self.k, self.block, self.prior_weight, self.every = k, block, prior_weight, every
         self.ids, self.y = np.array(ids, dtype=np.int64), np.array(y, dtype=np.float64)
-        counted = [terms_of(Counter(words(t))) for t in texts]
         n = len(y)
         # Copies would make any of their words look telling: terms are chosen over distinct texts.
-        distinct = {t: (c, label) for t, c, label in zip(texts, counted, y, strict=True)}
-        m, positive = len(distinct), sum(label for _, label in distinct.values())
-        df, toxic = Counter(), Counter()
-        for c, label in distinct.values():
-            df.update(c.keys())
-            if label:
-                toxic.update(c.keys())
-        terms = sorted(t for t, f in df.items() if f >= min_df)
-        f, a = np.array([df[t] for t in terms], dtype=np.float64), np.array([toxic[t] for t in terms], dtype=np.float64)
-        strong = likelihood_ratio(a, f, positive, m) > 2 * np.log(max(1, len(terms))) + 8
-        if strong.any():
-            terms, f = [t for t, s in zip(terms, strong, strict=True) if s], f[strong]
+        distinct = dict(zip(texts, y, strict=True))
+        m, positive = len(distinct), sum(distinct.values())
+        terms, f = self.choose_terms(distinct, min_df, positive)
         self.number = {t: i for i, t in enumerate(terms)}
         self.seen: dict[bytes, tuple[int, ...]] = {}
         # The last term is the one in every text.
         self.idf = 1 + np.log((1 + m) / (1 + f))
         self.prior = (sum(y) + 0.5) / (n + 1)
 
-        vectors = [self.weigh({self.number[t]: f for t, f in c.items() if t in self.number}) for c in counted]
+        vectors = [self.weigh(self.counts(t)) for t in texts]
         terms.append(b"")
         term = np.concatenate([np.empty(0, np.int64), *(v[0] for v in vectors)])
         weight = np.concatenate([np.empty(0), *(v[1] for v in vectors)])
@@ -111,6 +93,30 @@ class Index:
         self.slope, self.shift, self.none = 1.0, 0.0, None
         votes = np.array([self.vote(*self.search(v, skip=i)) for i, v in enumerate(vectors)])
         self.slope, self.shift = calibrate(votes, self.y)
+        self.seen = {}  # the index travels without it
+
+    def choose_terms(self, distinct: dict[bytes, int], min_df: int, positive: int) -> tuple[list[bytes], np.ndarray]:
+        """The telling terms, in order, and their document frequencies. Terms are counted by 64-bit hashes in flat
+        arrays, which hold the millions of forms of a sample in a few MB; only the chosen ones are looked up again."""
+        hashes, sizes = [], []
+        for text in distinct:
+            own = {x for w in set(words(text)) for x in forms(w)}
+            hashes.append(np.fromiter(map(hash, own), dtype=np.int64, count=len(own)))
+            sizes.append(len(own))
+        every = np.concatenate([np.empty(0, np.int64), *hashes])
+        toxic = np.repeat(np.array(list(distinct.values()), dtype=np.int8), sizes)
+        order = np.argsort(every, kind="stable")
+        every, toxic = every[order], toxic[order]
+        starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.empty(0, np.int64)
+        f = np.diff(np.append(starts, len(every))).astype(np.float64)
+        a = np.add.reduceat(toxic, starts, dtype=np.int64).astype(np.float64) if len(starts) else f
+        often = f >= min_df
+        strong = often & (likelihood_ratio(a, f, positive, len(distinct)) > 2 * np.log(max(1, often.sum())) + 8)
+        chosen = strong if strong.any() else often
+        df = dict(zip(every[starts[chosen]].tolist(), f[chosen].tolist(), strict=True))
+        found = {x: df[h] for text in distinct for w in set(words(text)) for x in forms(w) if (h := hash(x)) in df}
+        terms = sorted(found)
+        return terms, np.array([found[t] for t in terms])
 
     def weigh(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and the weights of a vector of length 1."""
