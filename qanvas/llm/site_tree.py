@@ -13,7 +13,7 @@ has no importance whatever its entropy: on many sites menus and notices differ f
 
 Plan: a pass parses the pages and emits (host, main text, path, block or look) as 64-bit hashes, aggregated in two steps
 with partial sums, so a hot host spreads over tasks; only template paths (few a host, bounded by what is on most of its
-pages) come back to the pages by a join on host that Spark may broadcast or split. A second pass extracts.
+pages) come back to the pages: broadcast if they are few, else by a join on host and a salt. A second pass extracts.
 
 Text: character references decoded, white space in a block collapsed to one space, blocks joined by a line break; a
 line break element ends a block. The main text is that of the outermost article elements, else of main, else of the body.
@@ -236,4 +236,13 @@ def extract(pages: DataFrame, least: float = 0.1, min_pages: int = 8) -> DataFra
             texts = [main_text(page or "", frozenset(d or ())) for page, d in zip(batch.column("html").to_pylist(), drops, strict=True)]
             yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts, "n_chars": [len(t) for t in texts]}
 
-    return map_arrow(own.join(dropped, "host", "left"), ["page_id", "url", "html", "drop"], per_task, "page_id bigint, url string, text string, n_chars bigint")
+    return map_arrow(with_drops(own, dropped), ["page_id", "url", "html", "drop"], per_task, "page_id bigint, url string, text string, n_chars bigint")
+
+
+def with_drops(pages: DataFrame, dropped: DataFrame, most: int = 200_000, salts: int = 64) -> DataFrame:
+    """pages with their host's paths to drop. Few paths are broadcast, so pages stay where they are; more than `most`
+    are joined on host and a salt, which deals a hot host's pages to many tasks."""
+    if (dropped.agg(F.sum(F.size("drop"))).first()[0] or 0) <= most:
+        return pages.join(F.broadcast(dropped), "host", "left")
+    salted = dropped.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(salts)).cast("int")).join(salted, ["host", "salt"], "left")
