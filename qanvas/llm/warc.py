@@ -175,6 +175,7 @@ def read_bundles(index: DataFrame, with_payload: bool = False) -> DataFrame:
     size of a response are taken anew from its payload and held against its header."""
     # One row per (bundle, frame), in tasks of its own: frames are independent.
     frames = index.select("bundle", "frame").distinct()
+    frames = frames.repartition(max(1, min(2_000, frames.count() // 4)), "bundle", "frame")
 
     def per_task(batches):
         for batch in batches:
