@@ -69,8 +69,8 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 def shielded(docs: DataFrame, needed: Iterable[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """work(docs), which keeps docs' columns, with all columns but the needed ones under names that work does not use."""
     aside = {c: f"own_{i}" for i, c in enumerate(docs.columns) if c not in set(needed)}
-    done = work(docs.withColumnsRenamed(aside))
-    return done.withColumnsRenamed({v: k for k, v in aside.items()}).select(*[f"`{c}`" for c in docs.columns])
+    apart = docs.withColumnsRenamed(aside)
+    return work(apart).select(*[f"`{c}`" for c in apart.columns]).withColumnsRenamed({v: k for k, v in aside.items()})
 
 
 def remainder(column: str, modulus: int):

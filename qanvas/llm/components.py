@@ -11,18 +11,22 @@ from .common import cut
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of links (a, b); the component is its smallest node.
 
-    Each round every node takes its smallest neighbour (or itself) as parent, parents are followed twice, and the links
-    are contracted to parents; links within a parent vanish. Rounds are few: the nodes that are left shrink at least by
-    half each time. Each round is written to the shared folder.
+    Each round every node takes its smallest neighbour (or itself) as parent, parents are followed to their roots (each
+    step doubles the way), and the links are contracted to roots; links within a root vanish. Every node that is left
+    then stands for two at least, so rounds and steps grow with the logarithm of the nodes. Each is written to the
+    shared folder.
     """
     links = cut(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     labels = None
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parents = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("b")))
-        for _ in range(2):
-            parents = _through(parents, parents, "b")
-        parents = cut(parents)
+        while True:
+            step = parents.select(F.col("a").alias("__of"), F.col("b").alias("__to"))
+            moved = cut(parents.join(step, F.col("b") == F.col("__of")).select("a", F.col("__to").alias("b"), (F.col("__to") != F.col("b")).alias("moved")))
+            parents = moved.select("a", "b")
+            if moved.where("moved").isEmpty():
+                break
         labels = cut(parents if labels is None else _through(labels, parents, "b").unionByName(_new(parents, labels)))
         links = _through(_through(links, parents, "a"), parents, "b").where("a <> b")
         links = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
