@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import ALNUM, cut, map_arrow, text_bytes
+from .common import ALNUM, cut, map_arrow, shielded, text_bytes
 from .components import components
 from .shingles import band_hashes, overlap, pack_multiset, shingle_runs, signatures, unpack_multiset
 
@@ -173,11 +174,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
     inner = cut(_inner_weights(multisets, rest.select(F.col("a").alias("nid"), "c").distinct()))
     rest = rest.join(inner, F.col("a") == F.col("nid"), "left").na.fill({"inner": 0}).withColumn("able", F.col("weight") - F.col("inner"))
     rest = cut(rest.where((F.col("s") < 1.0) & (F.col("able") >= threshold * F.col("weight") - 1e-9)).drop("nid", "inner"))
-    names = ("s", "c", "weight", "able", "i", "r")
+    rest = rest.join(nodes.select(F.col("nid").alias("a"), "bands"), "a")
+    names = ("s", "c", "weight", "able", "i", "r", "bands")
     x, y = (rest.select("band", F.col("a").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in names]) for n in ("a", "b"))
     most = F.least("able_a", "able_b", F.least("i_a", "i_b") + F.least("r_a", "r_b"))
     near = (F.abs(F.col("s_a") - F.col("s_b")) <= 1 - threshold + 1e-9) & (most >= threshold * (F.col("weight_a") + F.col("weight_b") - most) - 1e-6)
-    across = x.join(y, "band").where(near & (F.col("c_a") < F.col("c_b"))).select("a", "b").distinct()
+    # A pair of several bands is made in the first of them only; there it is verified or ruled out once and for all.
+    once = F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b"))
+    across = x.join(y, "band").where((F.col("c_a") < F.col("c_b")) & near & once).select("a", "b")
     more = _verified(across, multisets).where(F.col("similarity") >= threshold).select("a", "b")
     final = components(links.unionByName(cut(more)))
 
@@ -189,14 +193,31 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, in their own columns, of which each is the first of its class. Of rows that repeat a doc_id and
-    its text one stays; rows with a null id stay if their class has no id."""
+    its text one stays; of rows with a null id one stays for each text whose class has no id."""
+    return shielded(docs, ("doc_id", "text"), _keep_one)
+
+
+def _keep_one(docs: DataFrame) -> DataFrame:
     found = cut(near_duplicates(docs))
-    keep = cut(found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id")).distinct())
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    keep = cut(found.where("doc_id = class_id").select(F.col("doc_id").alias("__id")).distinct())
+    kept = docs.join(keep, F.col("doc_id") == F.col("__id"), "left_semi")
     again = cut(found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1").select("__id"))
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, F.col("doc_id") == F.col("__id"), "left_anti")
-    order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
-    more = kept.join(again, F.col("doc_id") == F.col("__id"), "left_semi").withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
-    return once.unionByName(more)
+    if not again.isEmpty():
+        once = kept.join(again, F.col("doc_id") == F.col("__id"), "left_anti")
+        order = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))
+        more = kept.join(again, F.col("doc_id") == F.col("__id"), "left_semi").withColumn("__row", F.row_number().over(order)).where("__row = 1").drop("__row")
+        kept = once.unionByName(more)
+    alone = found.where("doc_id IS NULL AND class_id IS NULL").select("key").distinct()
+    return kept if alone.isEmpty() else kept.unionByName(_without_id(docs, alone))
+
+
+def _without_id(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The documents without an id whose class has none, one for each text."""
+    schema = T.StructType([*docs.schema.fields, T.StructField("__key", T.BinaryType())])
+
+    def per_task(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([node_key(t) for t in text_bytes(batch.column("text"))], type=pa.binary())], names=schema.names)
+
+    keyed = docs.where("doc_id IS NULL").mapInArrow(per_task, schema)
+    return keyed.join(keys.withColumnRenamed("key", "__key"), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
