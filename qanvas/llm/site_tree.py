@@ -7,16 +7,20 @@ The DOMs of a host's pages are merged by path (tags with their classes and ids).
   the pages, log_m(pages that hold it) (the same blocks on all pages: 0; blocks of one page each: 1);
 - composite importance: a weighted sum of both. Branches under `least` are template, and are removed from every page of
   the host. Pages of a host with equal main text count once, so copies of an article do not make it template.
-Presentation that names its own role (nav, footer, aside, form, script, style, ..., or such a word in class, id or role)
-has no importance whatever its entropy: on many sites menus and notices differ from page to page. Bare text elements
-(p, h1, li, ...) are content of their branch, not branches of their own. Hosts with few pages have no template to show.
+The tree is that of the whole body, menus, footers and bare elements (p, h1, li, ...) included. From the body down, a
+section (an element that is no bare text element) that lies more than `slack` under the best of its siblings is template
+too; one outside the article that keeps up with it is content. `slack` is more than the looks can weigh, so it is
+repetition of text that decides. Two checks: the article or main elements of a page are content whatever the tree says of
+them as a whole, and presentation that names its own role (nav, footer, aside, form, script, style, ..., or such a word
+in class, id or role) is not: on many sites menus and notices differ from page to page. On hosts with few pages the tree
+shows nothing and the checks decide alone.
 
 Plan: a pass parses the pages and emits (host, main text, path, block or look) as 64-bit hashes, aggregated in two steps
-with partial sums, so a hot host spreads over tasks; only template paths (few a host, bounded by what is on most of its
-pages) come back to the pages: broadcast if they are few, else by a join on host and a salt. A second pass extracts.
+with partial sums, so a hot host spreads over tasks; only judged paths (those on `min_pages` pages of a host or more)
+come back to the pages: broadcast if they are few, else by a join on host and a salt. A second pass extracts.
 
 Text: character references decoded, white space in a block collapsed to one space, blocks joined by a line break; a
-line break element ends a block. The main text is that of the outermost article elements, else of main, else of the body.
+line break element ends a block. The article of a page is its outermost article elements, else main, else the body.
 
 Defined cases: null html is empty and gives empty text; null or hostless urls share no tree; broken markup is taken as
 it comes; repeated pages are separate rows; extra columns are ignored.
@@ -41,6 +45,8 @@ BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Elements over all others, of which a page has one.
+TOP = frozenset(("", "html", "body"))
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th tr tbody thead pre blockquote b i em strong span a html body main article".split())
 #: Elements that the start of another of their set ends.
 ENDS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -145,8 +151,8 @@ def main_nodes(root: Node) -> list[Node]:
     return [root]
 
 
-def blocks(node: Node, drop=frozenset()) -> list[tuple[Node, str]]:
-    """(innermost block element, text) of the text blocks in page order, without noise and dropped branches."""
+def blocks(node: Node, drop=frozenset(), whole: bool = False) -> list[tuple[Node, str]]:
+    """(innermost block element, text) of the text blocks in page order, without noise (unless `whole`) and dropped branches."""
     out: list[tuple[Node, str]] = []
     pending: list[str] = []
 
@@ -165,7 +171,7 @@ def blocks(node: Node, drop=frozenset()) -> list[tuple[Node, str]]:
             flush(owner)
         elif isinstance(item, str):
             pending.append(item)
-        elif item is not node and (item.noise or not inside and item.tag == "header" or not item.plain and item.path in drop):
+        elif item is not node and (item.tag in RAW or item.tag == "head" if whole else item.noise or not inside and item.tag == "header" or item.path in drop):
             if item.tag in BLOCK:
                 flush(owner)
         else:
@@ -178,25 +184,76 @@ def blocks(node: Node, drop=frozenset()) -> list[tuple[Node, str]]:
     return out
 
 
-def main_text(page: str, drop=frozenset()) -> str:
-    return "\n".join(text for node in main_nodes(parse(page)) for _, text in blocks(node, drop))
+def picked(root: Node, judged: dict[int, float], least: float = 0.1, slack: float = 0.15, named: bool = True) -> tuple[list[Node], set[int]]:
+    """The nodes that hold the main text, in page order, and the paths of template branches, by the importance of the
+    host's paths. Without `named`, the tree alone decides: article elements and roles count as any other."""
+    main = main_nodes(root) if named else [root]
+    drop = {path for path, v in judged.items() if v < least}
+    if not judged:
+        return main, drop
+    out: list[Node] = []
+    stack: list[tuple[Node, bool]] = [(root, main[0] is root)]
+    while stack:
+        node, within = stack.pop()
+        marked = any(node is m for m in main)
+        if marked:
+            out.append(node)
+        within |= marked
+        under = [c for c in node.children if isinstance(c, Node) and c.tag not in RAW and c.tag != "head"]
+        best = max((judged[c.path] for c in under if c.path in judged and not (named and c.noise)), default=0.0)
+        for c in reversed(under):
+            if named and c.noise or c.path in drop and not any(c is m for m in main):
+                continue
+            section = not c.plain or c.tag in ("article", "main")
+            if section and judged.get(c.path, best) < best - slack and not any(c is m for m in main):
+                drop.add(c.path)
+                continue
+            # A section beside the article's branch that keeps up with it; sections over the article are gone into.
+            if not within and section and c.path in judged and c.tag != "header" and not any(_over(c, m) for m in main):
+                out.append(c)
+                stack.append((c, True))
+            else:
+                stack.append((c, within))
+    if len(out) > len(main):
+        place = {id(n): i for i, n in enumerate(_nodes(root))}
+        out.sort(key=lambda n: place[id(n)])
+    return out, drop
+
+
+def _over(node: Node, other: Node | None) -> bool:
+    while other is not None and other is not node:
+        other = other.parent
+    return other is node
+
+
+def _nodes(root: Node):
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        yield node
+        stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+
+
+def main_text(page: str, judged: dict[int, float] | None = None, least: float = 0.1) -> str:
+    nodes, drop = picked(parse(page), judged or {}, least)
+    return "\n".join(text for node in nodes for _, text in blocks(node, drop))
 
 
 def observations(page: str) -> tuple[int, set[tuple[int, bool, int]]]:
-    """A hash of the main text, and (path, whether a look, hash of the look or block) of the branches in it."""
+    """A hash of the main text, and (path, whether a look, hash of the look or block) of the branches of the body."""
     seen: set[tuple[int, bool, int]] = set()
-    whole = []
-    for node in main_nodes(parse(page)):
-        for owner, text in blocks(node):
-            whole.append(text)
-            feature = hash64(text)
-            up: Node | None = owner
-            while up is not None and up is not node.parent:
-                if not up.plain:
-                    seen.add((up.path, False, feature))
-                    seen.add((up.path, True, hash64(*(c.tag for c in up.children if isinstance(c, Node)))))
-                up = up.parent
-    return hash64(*whole), seen
+    root, looks = parse(page), {}
+    for owner, text in blocks(root, whole=True):
+        feature = hash64(text)
+        up: Node | None = owner
+        while up is not None and up.tag not in TOP:
+            seen.add((up.path, False, feature))
+            looks.setdefault(up.path, {})[id(up)] = up
+            up = up.parent
+    # One look a path, of all its elements, so that looks count pages.
+    for path, nodes in looks.items():
+        seen.add((path, True, hash64(*(" ".join(c.tag for c in n.children if isinstance(c, Node)) for n in nodes.values()))))
+    return hash64(*(text for node in main_nodes(root) for _, text in blocks(node))), seen
 
 
 def importance(pages: DataFrame, gamma: float = 0.9) -> DataFrame:
@@ -226,23 +283,23 @@ def importance(pages: DataFrame, gamma: float = 0.9) -> DataFrame:
 
 def extract(pages: DataFrame, least: float = 0.1, min_pages: int = 8) -> DataFrame:
     """page_id, url, text, n_chars: one row per page."""
-    template = importance(pages).where((F.col("pages") >= min_pages) & (F.col("importance") < least))
-    dropped = cut(template.groupBy("host").agg(F.collect_list("path").alias("drop")))
+    shown = importance(pages).where(F.col("pages") >= min_pages)
+    judged = cut(shown.groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("judged")))
     own = pages.select("page_id", "url", "html", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1)).alias("host"))
 
     def per_task(batches):
         for batch in batches:
-            drops = batch.column("drop").to_pylist()
-            texts = [main_text(page or "", frozenset(d or ())) for page, d in zip(batch.column("html").to_pylist(), drops, strict=True)]
+            trees = batch.column("judged").to_pylist()
+            texts = [main_text(page or "", {x["path"]: x["importance"] for x in t or ()}, least) for page, t in zip(batch.column("html").to_pylist(), trees, strict=True)]
             yield {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts, "n_chars": [len(t) for t in texts]}
 
-    return map_arrow(with_drops(own, dropped), ["page_id", "url", "html", "drop"], per_task, "page_id bigint, url string, text string, n_chars bigint")
+    return map_arrow(with_trees(own, judged), ["page_id", "url", "html", "judged"], per_task, "page_id bigint, url string, text string, n_chars bigint")
 
 
-def with_drops(pages: DataFrame, dropped: DataFrame, most: int = 200_000, salts: int = 64) -> DataFrame:
-    """pages with their host's paths to drop. Few paths are broadcast, so pages stay where they are; more than `most`
+def with_trees(pages: DataFrame, judged: DataFrame, most: int = 200_000, salts: int = 64) -> DataFrame:
+    """pages with the judged paths of their host. Few paths are broadcast, so pages stay where they are; more than `most`
     are joined on host and a salt, which deals a hot host's pages to many tasks."""
-    if (dropped.agg(F.sum(F.size("drop"))).first()[0] or 0) <= most:
-        return pages.join(F.broadcast(dropped), "host", "left")
-    salted = dropped.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if (judged.agg(F.sum(F.size("judged"))).first()[0] or 0) <= most:
+        return pages.join(F.broadcast(judged), "host", "left")
+    salted = judged.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return pages.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(salts)).cast("int")).join(salted, ["host", "salt"], "left")

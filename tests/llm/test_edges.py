@@ -170,6 +170,24 @@ def test_style_tree_drops_template_branches(spark):
     assert {r["text"] for r in site_tree.extract(pages).collect()} == {f"Story {i} of {i}" for i in range(20)}
 
 
+def test_style_tree_judges_the_whole_body_without_names(spark):
+    """Menus and notes that differ from page to page, outside any article and without telling names."""
+    page = "<body><div class='a'><ul><li>Menu {m}</li></ul></div><div class='b'><p>Story {i}, first</p><p>Story {i}, <i>second</i></p></div><div class='c'>Note {n}</div></body>"
+    pages = spark.createDataFrame([(i, f"https://h.example/{i}", page.format(i=i, m=i % 5, n=i % 4)) for i in range(40)], "page_id long, url string, html string")
+    judged = site_tree.importance(pages).collect()
+    root = site_tree.parse(page.format(i=0, m=0, n=0))
+    a, b, c = root.children[0].children
+    assert {a.path, a.children[0].path, b.path, b.children[0].path, c.path} <= {r["path"] for r in judged}
+    assert {r["pages"] for r in judged} == {40}
+    assert {(r["page_id"], r["text"]) for r in site_tree.extract(pages).collect()} == {(i, f"Story {i}, first\nStory {i}, second") for i in range(40)}
+
+
+def test_style_tree_picks_sections_beside_the_article(spark):
+    page = "<body><div class='m'>Menu {m}</div><div class='lead'>Lead {i}</div><article><p>Story {i}</p></article></body>"
+    pages = spark.createDataFrame([(i, f"https://h.example/{i}", page.format(i=i, m=i % 5)) for i in range(40)], "page_id long, url string, html string")
+    assert {(r["page_id"], r["text"]) for r in site_tree.extract(pages).collect()} == {(i, f"Lead {i}\nStory {i}") for i in range(40)}
+
+
 def test_near_duplicate_edges(awkward, empty):
     got = {}
     for r in near_dedup.near_duplicates(awkward).collect():
