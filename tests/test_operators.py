@@ -2,12 +2,15 @@
 
 import json
 from collections import Counter
+from itertools import combinations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from qanvas.functions import lexicons as L
 from qanvas.operators import choices as C
 from qanvas.operators import questions as Q
+from qanvas.plans.registry import QUERIES
 from qanvas.plans.vector_queries import arrivals_of, scored
 from qanvas.sources import books as B
 from qanvas.sources import sinks as S
@@ -60,6 +63,23 @@ def test_selection_is_k_distinct_and_exact_is_best(spark):
         assert all(len(r["i"]) == r["n"] <= 3 for r in picks)
 
 
+def test_exact_select_is_the_best_of_the_whole_pool(spark):
+    """Against all subsets, with zero similarities, repeated vectors and ties; and no annealed choice is better."""
+    rng = np.random.default_rng(5)
+    for k, m, spread in ((1, 9, 1.0), (2, 15, 0.1), (3, 24, 1.0), (3, 24, 0.05), (4, 13, 0.3)):
+        x = rng.normal(size=(m, 6))
+        x[1] = x[0]
+        distance = 1 - (x @ x.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(x, axis=1))
+        distance = np.where(distance < 1e-12, 0.0, distance)
+        ctx, sim = np.round(rng.random(m) * spread, 1 + (spread < 1)), np.maximum(0, np.round(rng.random(m), 1) - 0.1 * (k % 2))
+        want = max(combinations(range(m), k), key=lambda s: (round(C._objective(s, ctx, distance, sim, 0.3, 0.4), 12), tuple(-i for i in s)))
+        assert C._best(k, ctx, distance, sim, 0.3, 0.4) == want
+    rows = QUERIES["exact_select"](spark, SF), QUERIES["anneal_select"](spark, SF)
+    energy = [{r["qid"]: r["objective"] for r in C.energy(scored(spark, SF).join(r, ["qid", "i"])).collect()} for r in rows]
+    assert energy[0].keys() == energy[1].keys() and len(energy[0]) > 1
+    assert all(energy[0][q] >= energy[1][q] - 1e-9 for q in energy[0])
+
+
 def test_greedy_blanks_keep_their_distance(spark):
     rows = spark.createDataFrame([(1, p, s) for p, s in enumerate([0.1, 0.9, 0.8, 0.2, 0.3, 0.7])], "id long, position int, score double")
     assert [r["position"] for r in C.greedy_blanks(rows, count=3, spacing=3).orderBy("position").collect()] == [1, 5]
