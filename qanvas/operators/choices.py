@@ -137,19 +137,24 @@ def diversity(candidates: DataFrame) -> DataFrame:
     return a.join(b, "qid").groupBy("qid", "i").agg(F.avg(V.cosine_distance("x", "y")).alias("diversity"))
 
 
-def energy(selected: DataFrame, beta: float = 0.3, gamma: float = 0.4) -> DataFrame:
-    """qid, e_ctx, e_emb, e_sim, objective of selected candidates (qid, i, ctx, sim, embedding)."""
+def energy(selected: DataFrame, beta: float = 0.3, gamma: float = 0.4, answer: str | None = "answer") -> DataFrame:
+    """qid, e_ctx, e_emb, e_sim, objective of selected candidates (qid, i, ctx, sim, embedding, and the embedding of the
+    question's answer). e_emb is over the pairs of the selected and the answer; with no answer column, of the selected."""
     each = selected.groupBy("qid").agg(F.sum("ctx").alias("e_ctx"), V.harmonic_mean(F.col("sim")).alias("e_sim"))
-    pairs = pair_distances(selected).groupBy("qid").agg(V.harmonic_mean(F.col("distance")).alias("e_emb"))
+    distances = pair_distances(selected).select("qid", "distance")
+    if answer:
+        distances = distances.unionByName(selected.select("qid", V.cosine_distance("embedding", answer).alias("distance")))
+    pairs = distances.groupBy("qid").agg(V.harmonic_mean(F.col("distance")).alias("e_emb"))
     both = each.join(pairs, "qid", "left").na.fill({"e_emb": 0.0})
     return both.withColumn("objective", F.col("e_ctx") + beta * F.col("e_emb") - gamma * F.col("e_sim"))
 
 
 def _objective(chosen, ctx, distance, sim, beta, gamma):
+    """distance has the answer in the row after the candidates'."""
     def harmonic(v):
         return 0.0 if not len(v) or (v == 0).any() else len(v) / (1 / v).sum()
 
-    pairs = np.array([distance[a, b] for a, b in combinations(chosen, 2)])
+    pairs = np.array([distance[a, b] for a, b in combinations((*chosen, len(ctx)), 2)])
     return ctx[list(chosen)].sum() + beta * harmonic(pairs) - gamma * harmonic(sim[list(chosen)])
 
 
@@ -161,16 +166,16 @@ def _best(k: int, ctx: np.ndarray, distance: np.ndarray, sim: np.ndarray, beta:
     order = np.argsort(-ctx, kind="stable")
     c = ctx[order]
     with np.errstate(divide="ignore"):
-        far, like = 1 / distance[np.ix_(order, order)], 1 / sim[order]
-    m, pairs = len(c), k * (k - 1) // 2
+        far, like, away = 1 / distance[np.ix_(order, order)], 1 / sim[order], 1 / distance[order, len(c)]
+    m, pairs = len(c), k * (k + 1) // 2
     sums = np.concatenate([[0.0], np.cumsum(c)])
-    #: The smallest inverse distance of a pair, and the largest inverse similarity from each place on.
-    least_far = far[np.triu_indices(m, 1)].min() if m > 1 else 0.0
+    #: The smallest inverse distance of a pair, the answer's included, and the largest inverse similarity from each place on.
+    least_far = min(far[np.triu_indices(m, 1)].min(initial=np.inf), away.min())
     most_like = np.maximum.accumulate(like[::-1])[::-1]
     best, found = -np.inf, ()
 
     def value(total, inverse, alike):
-        return total + (beta * pairs / inverse if pairs else 0.0) - gamma * k / alike
+        return total + beta * pairs / inverse - gamma * k / alike
 
     def grow(chosen: tuple[int, ...], total: float, inverse: float, alike: float) -> None:
         nonlocal best, found
@@ -178,21 +183,21 @@ def _best(k: int, ctx: np.ndarray, distance: np.ndarray, sim: np.ndarray, beta:
         start = chosen[-1] + 1 if chosen else 0
         if left == 1:
             last = np.arange(start, m)
-            v = np.round(value(total + c[last], inverse + far[list(chosen)][:, last].sum(0), alike + like[last]), 12)
+            v = np.round(value(total + c[last], inverse + away[last] + far[list(chosen)][:, last].sum(0), alike + like[last]), 12)
             top = v.max(initial=-np.inf)
             if top >= best:
                 ties = [tuple(sorted(int(order[i]) for i in (*chosen, j))) for j in last[v == top]]
                 found = min(ties if top > best else [found, *ties])
                 best = top
             return
-        known = len(chosen) * (len(chosen) - 1) // 2
+        known = len(chosen) * (len(chosen) + 1) // 2
         for i in range(start, m - left + 1):
             # Members from i on; their ctx falls with i, so later ones reach no more.
             bound = value(total + sums[i + left] - sums[i], inverse + (pairs - known) * least_far, alike + left * most_like[i])
             if bound < best - 1e-9:
                 break
-            own = inverse + far[list(chosen), i].sum()
-            bound = value(total + sums[i + left] - sums[i], own + (pairs - known - len(chosen)) * least_far, alike + like[i] + (left - 1) * most_like[i + 1])
+            own = inverse + away[i] + far[list(chosen), i].sum()
+            bound = value(total + sums[i + left] - sums[i], own + (pairs - known - len(chosen) - 1) * least_far, alike + like[i] + (left - 1) * most_like[i + 1])
             if bound >= best - 1e-9:
                 grow((*chosen, i), total + c[i], own, alike + like[i])
 
@@ -201,14 +206,14 @@ def _best(k: int, ctx: np.ndarray, distance: np.ndarray, sim: np.ndarray, beta:
 
 
 def select_candidates(candidates: DataFrame, k: int = 3, beta: float = 0.3, gamma: float = 0.4, iterations: int = 100, exact: bool = False, seed: int = 0) -> DataFrame:
-    """qid, slot, i: k of each question's candidates (qid, i, ctx, sim, embedding) by simulated annealing of the energy
-    (the last state is the result), or by a search that misses no subset. Draws depend on the question and the seed alone."""
+    """qid, slot, i: k of each question's candidates (qid, i, ctx, sim, embedding, answer) by simulated annealing of the energy
+    (with the distances to the answer, an embedding that is no candidate; the last state is the result), or by a search that misses no subset. Draws depend on the question and the seed alone."""
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i", kind="stable")
         m, qid = len(pdf), pdf["qid"].iloc[0]
         ctx, sim = pdf["ctx"].to_numpy(float), pdf["sim"].to_numpy(float)
-        x = np.array(pdf["embedding"].tolist(), dtype=float)
+        x = np.array([*pdf["embedding"], pdf["answer"].iloc[0]], dtype=float)
         lengths = np.linalg.norm(x, axis=1)
         products = np.outer(lengths, lengths)
         distance = 1 - np.where(products == 0, 1.0, x @ x.T / np.where(products == 0, 1, products))

@@ -25,15 +25,16 @@ def pool(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(F.col("label").alias("qid"), F.col("vec_id").alias("i"), "embedding")
 
 
-def scored(spark, sf_dir):
-    """pool with sim (to the answer), p_sentence, p_passage and ctx."""
+def scored(spark, sf_dir, with_answer: bool = True):
+    """pool with answer (its embedding), sim (to the answer), p_sentence, p_passage and ctx; the answer is a candidate as
+    in the SQL, or none."""
     rows = pool(spark, sf_dir)
-    answers = rows.groupBy("qid").agg(F.min(F.struct("i", "embedding")).alias("a")).select("qid", F.col("a.embedding").alias("answer"))
-    rows = rows.join(answers, "qid").withColumns({"cos": V.cosine("embedding", "answer"), "p_sentence": (F.col("i") % 97 + 1) / 100.0, "p_passage": (F.col("i") % 89 + 1) / 90.0})
+    answers = rows.groupBy("qid").agg(F.min(F.struct("i", "embedding")).alias("a")).select("qid", F.col("a.i").alias("answer_i"), F.col("a.embedding").alias("answer"))
+    rows = rows.join(answers, "qid").where(F.lit(with_answer) | (F.col("i") != F.col("answer_i"))).withColumns({"cos": V.cosine("embedding", "answer"), "p_sentence": (F.col("i") % 97 + 1) / 100.0, "p_passage": (F.col("i") % 89 + 1) / 90.0})
     w = Window.partitionBy("qid")
     ctx = V.context_score(F.col("p_sentence"), F.col("p_passage"), 0.4)
     rows = rows.withColumn("raw", ctx).withColumns({"ctx": V.min_max(F.col("raw"), F.min("raw").over(w), F.max("raw").over(w)), "sim": V.min_max(F.col("cos"), F.min("cos").over(w), F.max("cos").over(w))})
-    return rows.select("qid", "i", "embedding", "cos", "p_sentence", "p_passage", "raw", "ctx", "sim")
+    return rows.select("qid", "i", "embedding", "cos", "p_sentence", "p_passage", "raw", "ctx", "sim", "answer")
 
 
 _SCORED = f"""{_POOL},
@@ -67,9 +68,9 @@ def context_scores(spark, sf_dir):
 _CHOSEN = "k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY raw DESC, i) AS rk FROM s) WHERE rk <= 4)"
 
 
-def _chosen(spark, sf_dir):
+def _chosen(spark, sf_dir, with_answer: bool = True):
     best = Window.partitionBy("qid").orderBy(F.desc("raw"), "i")
-    return scored(spark, sf_dir).withColumn("rk", F.row_number().over(best)).where("rk <= 4")
+    return scored(spark, sf_dir, with_answer).withColumn("rk", F.row_number().over(best)).where("rk <= 4")
 
 
 @query(f"""WITH {_SCORED}, {_CHOSEN}, d AS (SELECT x.qid, 1 - {sql_cosine("x.v", "y.v")} AS d FROM k x JOIN k y ON x.qid = y.qid AND x.i < y.i),
@@ -77,7 +78,14 @@ p AS (SELECT qid, CASE WHEN count(*) FILTER (WHERE d = 0) > 0 THEN 0 ELSE count(
 q AS (SELECT qid, sum(ctx) AS e_ctx, CASE WHEN count(*) FILTER (WHERE sim = 0) > 0 THEN 0 ELSE count(*) / sum(1 / nullif(sim, 0)) END AS e_sim FROM k GROUP BY qid)
 SELECT qid, round(e_ctx, 6) AS e_ctx, round(e_sim, 6) AS e_sim, round(coalesce(e_emb, 0), 6) AS e_emb, round(e_ctx + 0.3 * coalesce(e_emb, 0) - 0.4 * e_sim, 6) AS objective FROM q LEFT JOIN p USING (qid)""")
 def energy(spark, sf_dir):
-    return C.energy(_chosen(spark, sf_dir)).select("qid", *[F.round(c, 6).alias(c) for c in ("e_ctx", "e_sim", "e_emb", "objective")])
+    """As its SQL has it: without the answer's distances, and with the answer among the candidates."""
+    return C.energy(_chosen(spark, sf_dir), answer=None).select("qid", *[F.round(c, 6).alias(c) for c in ("e_ctx", "e_sim", "e_emb", "objective")])
+
+
+@query()
+def energy_to_answer(spark, sf_dir):
+    """The energy that the selections search: the answer is a member of the pairs and no candidate."""
+    return C.energy(_chosen(spark, sf_dir, False)).select("qid", *[F.round(c, 6).alias(c) for c in ("e_ctx", "e_sim", "e_emb", "objective")])
 
 
 @query(f"""WITH {_SCORED}, {_CHOSEN}, d AS (SELECT x.qid, sum(1 - {sql_cosine("x.v", "y.v")}) AS delta FROM k x JOIN k y ON x.qid = y.qid AND x.i < y.i GROUP BY x.qid),
@@ -139,12 +147,12 @@ def log_means(spark, sf_dir):
 @query()
 def anneal_select(spark, sf_dir):
     """The annealed choice is random by nature (seeded); tests hold it against the exact one."""
-    return C.select_candidates(scored(spark, sf_dir), k=3)
+    return C.select_candidates(scored(spark, sf_dir, False), k=3)
 
 
 @query()
 def exact_select(spark, sf_dir):
-    return C.select_candidates(scored(spark, sf_dir), k=3, exact=True)
+    return C.select_candidates(scored(spark, sf_dir, False), k=3, exact=True)
 
 
 #: events as an arrival stream: the five event types in alphabetical order are the five categories.

@@ -67,7 +67,7 @@ def test_exact_select_is_the_best_of_the_whole_pool(spark):
     """Against all subsets, with zero similarities, repeated vectors and ties; and no annealed choice is better."""
     rng = np.random.default_rng(5)
     for k, m, spread in ((1, 9, 1.0), (2, 15, 0.1), (3, 24, 1.0), (3, 24, 0.05), (4, 13, 0.3)):
-        x = rng.normal(size=(m, 6))
+        x = rng.normal(size=(m + 1, 6))
         x[1] = x[0]
         distance = 1 - (x @ x.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(x, axis=1))
         distance = np.where(distance < 1e-12, 0.0, distance)
@@ -75,11 +75,29 @@ def test_exact_select_is_the_best_of_the_whole_pool(spark):
         want = max(combinations(range(m), k), key=lambda s: (round(C._objective(s, ctx, distance, sim, 0.3, 0.4), 12), tuple(-i for i in s)))
         assert C._best(k, ctx, distance, sim, 0.3, 0.4) == want
     rows = QUERIES["exact_select"](spark, SF), QUERIES["anneal_select"](spark, SF)
-    energy = [{r["qid"]: r["objective"] for r in C.energy(scored(spark, SF).join(r, ["qid", "i"])).collect()} for r in rows]
+    energy = [{r["qid"]: r["objective"] for r in C.energy(scored(spark, SF, False).join(r, ["qid", "i"])).collect()} for r in rows]
     assert energy[0].keys() == energy[1].keys() and len(energy[0]) > 1
     assert all(energy[0][q] >= energy[1][q] - 1e-9 for q in energy[0])
 
 
+def test_energy_counts_the_distances_to_the_answer(spark):
+    rows = [(1, 1, 0.5, 1.0, [1.0, 0.0], [0.0, 1.0]), (1, 2, 0.25, 1.0, [1.0, 1.0], [0.0, 1.0])]
+    selected = spark.createDataFrame(rows, "qid long, i long, ctx double, sim double, embedding array<double>, answer array<double>")
+    near = 1 - 0.5**0.5
+    got = C.energy(selected).first()
+    assert abs(got["e_emb"] - 3 / (1 / near + 1 / 1 + 1 / near)) < 1e-9
+    assert abs(got["objective"] - (0.75 + 0.3 * got["e_emb"] - 0.4)) < 1e-9
+
+
+def test_selection_prefers_what_is_far_from_the_answer_and_leaves_it_out(spark):
+    rows = [(1, i, 0.5, 0.5, x, [1.0, 0.0]) for i, x in enumerate([[1.0, 0.1], [0.1, 1.0], [-1.0, 0.1]])]
+    selected = C.select_candidates(spark.createDataFrame(rows, "qid long, i long, ctx double, sim double, embedding array<double>, answer array<double>"), k=1, exact=True)
+    assert [r["i"] for r in selected.collect()] == [2]
+    answers = {(r["qid"], r["i"]) for r in scored(spark, SF).groupBy("qid").agg(F.min("i").alias("i")).collect()}
+    for name in ("exact_select", "anneal_select"):
+        assert not answers & {(r["qid"], r["i"]) for r in QUERIES[name](spark, SF).collect()}
+
+
 def test_greedy_blanks_keep_their_distance(spark):
     rows = spark.createDataFrame([(1, p, s) for p, s in enumerate([0.1, 0.9, 0.8, 0.2, 0.3, 0.7])], "id long, position int, score double")
     assert [r["position"] for r in C.greedy_blanks(rows, count=3, spacing=3).orderBy("position").collect()] == [1, 5]
