@@ -21,6 +21,12 @@ def items(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), w.alias("options")).withColumn("answer", F.get("options", F.lit(0))).where("answer <> ''")
 
 
+def item_words(spark, sf_dir):
+    """All words of every item, as the texts that options and answers are made of."""
+    w = F.transform(X.words("text"), lambda x: F.regexp_replace(F.lower(x), "[^a-z]", ""))
+    return table(spark, sf_dir, "benchmark").select(F.explode(w).alias("text"))
+
+
 _FIX = """
 t AS (SELECT DISTINCT text FROM (SELECT unnest(options) AS text FROM m UNION ALL SELECT answer FROM m) WHERE text <> ''),
 fix AS (SELECT a.text, max(b.text) AS longer FROM t a JOIN t b ON ends_with(b.text, a.text) AND length(b.text) - length(a.text) BETWEEN 1 AND 2 GROUP BY a.text)"""
@@ -32,6 +38,12 @@ def suffix_repair(spark, sf_dir):
     return C.suffix_map(rows.select(F.explode("options").alias("text")).unionByName(rows.select(F.col("answer").alias("text"))))
 
 
+@query()
+def suffix_repair_words(spark, sf_dir):
+    """suffix_repair over all words of every item; its SQL has the first five."""
+    return C.suffix_map(item_words(spark, sf_dir))
+
+
 _CAP = "(CASE WHEN regexp_matches({0}, '^[a-zäöüßéèêçñóí]') THEN upper(left({0}, 1)) || lower(substr({0}, 2)) ELSE {0} END)"
 
 
@@ -51,6 +63,12 @@ def close_match(spark, sf_dir):
     return C.close_match(items(spark, sf_dir).select(F.explode("options").alias("text")))
 
 
+@query()
+def close_match_words(spark, sf_dir):
+    """close_match over all words of every item; its SQL has the first five."""
+    return C.close_match(item_words(spark, sf_dir))
+
+
 @query("""WITH p AS (SELECT doc_id AS k, arg_min(text, doc_id) AS text FROM documents GROUP BY doc_id),
 q AS (SELECT conv_id, turn, conv_id * 2 AS k FROM conversations WHERE role = 'user')
 SELECT conv_id, turn, coalesce(replace(p.text, chr(10), ' '), '') AS passage FROM q LEFT JOIN p USING (k)""")

@@ -1,6 +1,7 @@
 """Operators: properties and small cases."""
 
 import json
+import re
 from collections import Counter
 from itertools import combinations
 
@@ -80,6 +81,27 @@ def test_exact_select_is_the_best_of_the_whole_pool(spark):
     assert all(energy[0][q] >= energy[1][q] - 1e-9 for q in energy[0])
 
 
+def test_suffix_repair_and_close_match_take_all_words(spark, duck):
+    texts = [t for (t,) in duck.sql("SELECT text FROM benchmark").fetchall()]
+    words = {re.sub("[^a-z]", "", w.lower()) for t in texts for w in t.split()} - {""}
+    longer = {w: max((x for x in words if x.endswith(w) and 1 <= len(x) - len(w) <= 2), default=None) for w in words}
+    got = {r["text"]: r["longer"] for r in QUERIES["suffix_repair_words"](spark, SF).collect()}
+    assert got == {w: x for w, x in longer.items() if x}
+    assert len(got) > QUERIES["suffix_repair"](spark, SF).count()
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, was = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(was[j] + 1, row[-1] + 1, was[j - 1] + (x != y)))
+        return row[-1]
+
+    near = {w: min(((edits(w, x), x) for x in words if x != w and x[0] == w[0] and abs(len(x) - len(w)) <= 2), default=(3, None)) for w in words}
+    got = {r["text"]: r["match"] for r in QUERIES["close_match_words"](spark, SF).collect()}
+    assert got == {w: x for w, (d, x) in near.items() if d <= 2}
+
+
 def test_energy_counts_the_distances_to_the_answer(spark):
     rows = [(1, 1, 0.5, 1.0, [1.0, 0.0], [0.0, 1.0]), (1, 2, 0.25, 1.0, [1.0, 1.0], [0.0, 1.0])]
     selected = spark.createDataFrame(rows, "qid long, i long, ctx double, sim double, embedding array<double>, answer array<double>")
