@@ -111,15 +111,20 @@ def pool(candidates: DataFrame, n: int, alpha: float = 0.4) -> DataFrame:
     return ranked.where(F.col("rank") <= n)
 
 
-def fallback_words(lexicon: DataFrame, answers: DataFrame, n: int, seed: str = "fallback") -> DataFrame:
+def fallback_words(lexicon: DataFrame, answers: DataFrame, n: int, seed: str = "fallback", bits: int = 12) -> DataFrame:
     """qid, word: 2n lexicon words a question in a random order fixed by the seed, for pools that are too small. The
-    order is one for all words; each question starts at a place of its own, so no pair of all words is formed."""
-    order = lexicon.select("word", X.hashed(seed, "word").alias("h")).orderBy("h", "word").limit(4 * n + 64)
-    words = order.agg(F.array_sort(F.collect_list(F.struct("h", "word"))).alias("w"))
-    size = F.greatest(F.size("w") - 2 * n, F.lit(1))
-    start = (X.hashed(seed, "qid") % size + 1).cast("int")
-    picked = answers.join(F.broadcast(words)).select("qid", "answer", F.explode(F.slice("w", start, 2 * n)).alias("w"))
-    return picked.select("qid", X.capitalised("w.word").alias("word")).where(F.lower("word") != F.lower("answer"))
+    order is one for all words; each question starts at a place of its own in it and goes on from the end at the front.
+    Places come from counts by the first bits of the hash, so no task sorts all words and no pair of all words is formed."""
+    hashes = lexicon.select("word", X.hashed(seed, "word").alias("h")).withColumn("bin", F.shiftright("h", 32 - bits))
+    # One row a bin, 2^bits at most.
+    before = hashes.groupBy("bin").agg(F.count("*").alias("n")).select("bin", F.coalesce(F.sum("n").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("bin").orderBy("h", "word")) - 1
+    placed = hashes.join(F.broadcast(before), "bin").select("word", place.alias("place"))
+    size = hashes.agg(F.count("*").alias("size")).where("size > 0")
+    steps = F.explode(F.sequence(F.lit(0), F.least(F.lit(2 * n), F.col("size")).cast("int") - 1))
+    asked = answers.crossJoin(F.broadcast(size)).select("qid", "answer", "size", (X.hashed(seed, "qid") % F.col("size")).alias("start"), steps.alias("step"))
+    picked = asked.withColumn("place", (F.col("start") + F.col("step")) % F.col("size")).join(placed, "place")
+    return picked.where(F.lower("word") != F.lower("answer")).select("qid", X.capitalised("word").alias("word"))
 
 
 def pair_distances(candidates: DataFrame) -> DataFrame:

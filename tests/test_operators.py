@@ -102,6 +102,17 @@ def test_suffix_repair_and_close_match_take_all_words(spark, duck):
     assert got == {w: x for w, (d, x) in near.items() if d <= 2}
 
 
+def test_fallback_words_draw_from_the_whole_lexicon(spark):
+    lexicon = spark.range(3_000).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"))
+    answers = spark.range(2_000).select(F.col("id").alias("qid"), F.lit("none").alias("answer"))
+    got = {r["qid"]: r["w"] for r in C.fallback_words(lexicon, answers, 3).groupBy("qid").agg(F.collect_list("word").alias("w")).collect()}
+    assert len(got) == 2_000 and all(len(set(w)) == len(w) == 6 for w in got.values())
+    assert len({x for w in got.values() for x in w}) > 2_800
+    few = C.fallback_words(lexicon.limit(4), spark.createDataFrame([(1, "W0")], "qid long, answer string"), 3)
+    assert sorted(r["word"] for r in few.collect()) == ["W1", "W2", "W3"]
+    assert C.fallback_words(lexicon.limit(0), answers, 3).count() == 0
+
+
 def test_energy_counts_the_distances_to_the_answer(spark):
     rows = [(1, 1, 0.5, 1.0, [1.0, 0.0], [0.0, 1.0]), (1, 2, 0.25, 1.0, [1.0, 1.0], [0.0, 1.0])]
     selected = spark.createDataFrame(rows, "qid long, i long, ctx double, sim double, embedding array<double>, answer array<double>")
