@@ -3,9 +3,9 @@
 Base patterns mark credentials of three kinds. Their values are the labelled examples of a format: for each kind a
 prefix tree over symbol classes is built from a sample, and statistically compatible states are merged (red-blue order,
 Hoeffding bounds on ending and on every symbol, checked down the subtrees) into a probabilistic automaton. One more is
-learned from the candidates that no base pattern marks. Every candidate (a maximal run of 16 or more credential
-characters with a digit) outside the base spans is then scored: it is marked, as kind `learned`, where a kind's
-automaton finds it more likely than the background by `min_bits`, and as likely a symbol as all but a twentieth of that kind's own examples.
+learned from the candidates that no base pattern marks: one from runs of 16 or more with a digit, one from all others,
+mostly words. Every candidate (a maximal run of 6 or more credential characters, the shortest value) outside the base spans is then scored: it is marked, as kind `learned`, where a kind's
+automaton finds it more likely than either background by `min_bits`, and as likely a symbol as all but a twentieth of that kind's own examples.
 
 Plan: one pass gathers, in each task, the `sample` distinct values of smallest hash per kind; the smallest of all tasks
 follow by an ordered limit. So the sample is drawn over all documents and has a fixed size (automata are fitted to it:
@@ -38,11 +38,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "learned")
 
 _IS_HEX = bytes(0x78 if b in b"0123456789abcdef" else 0x20 for b in range(256))
-_CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=-]*")
-_LEFT = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+_CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=-]{6,}")
 _DIGIT = re.compile(rb"[0-9]")
 #: Symbol classes: digits, hexadecimal letters and other letters of either case; other characters stand for themselves.
 _CLASS = {c: ("0" if c.isdigit() else "a" if c in "abcdef" else "g" if c.islower() else "A" if c in "ABCDEF" else "G" if c.isupper() else c) for c in map(chr, range(33, 127))}
+_CLASSES = bytes(ord(_CLASS.get(chr(b), "?")) for b in range(256))
 
 
 def base_spans(data: bytes) -> list[tuple[int, int, int, int]]:
@@ -60,17 +60,20 @@ def base_spans(data: bytes) -> list[tuple[int, int, int, int]]:
     return sorted(out)
 
 
-def candidates(data: bytes, least: int = 16) -> Iterator[tuple[int, int, str]]:
-    """(start, end, value) of the candidate runs, in code points."""
-    at = seen_bytes = seen_points = 0
-    while m := _DIGIT.search(data, at):
-        start, at = m.start(), _CANDIDATE.match(data, m.start()).end()
-        while start > seen_bytes and data[start - 1] in _LEFT:
-            start -= 1
-        if at - start >= least:
-            seen_points += len(data[seen_bytes:start].decode())
-            yield seen_points, seen_points + at - start, data[start:at].decode()
-            seen_points, seen_bytes = seen_points + at - start, at
+def candidates(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, value) of the candidates, all maximal runs of at least the shortest value's length, in bytes."""
+    for m in _CANDIDATE.finditer(data):
+        yield m.start(), m.end(), m[0]
+
+
+def points(data: bytes, at: int) -> int:
+    """Code points before a byte."""
+    return len(data[:at].decode())
+
+
+def background(value: bytes) -> str:
+    """Long runs with digits have a background of their own, which words would crowd out."""
+    return "background" if len(value) >= 16 and _DIGIT.search(value) else "words"
 
 
 class Automaton:
@@ -164,35 +167,49 @@ class Formats:
     def __init__(self, examples: dict[str, list[str]], min_examples: int = 20, min_bits: float = 20.0) -> None:
         self.min_bits = min_bits
         enough = {k: Automaton(sorted(v)) for k, v in sorted(examples.items()) if len(v) >= min_examples}
-        self.background = enough.pop("background", None)
+        self.grounds = [enough.pop(k) for k in ("background", "words") if k in enough]
         self.kinds = enough
+        self.known: dict[bytes, bool] = {}
 
     def score(self, value: str) -> tuple[float, str | None]:
-        """Bits over the background of the likeliest kind whose examples the value is like, and that kind."""
-        ground = self.background.bits(value) if self.background else -(len(value) + 1) * 4.0
+        """Bits over the likelier background of the likeliest kind whose examples the value is like, and that kind."""
+        ground = max((g.bits(value) for g in self.grounds), default=-(len(value) + 1) * 4.0)
         fit = [(a.bits(value) - ground, k) for k, a in self.kinds.items() if a.bits(value) / (len(value) + 1) >= a.typical]
         return max(fit, default=(-math.inf, None))
 
+    def takes(self, value: bytes) -> bool:
+        """Whether the automata take a value for a credential; they see its symbol classes alone, so values share answers."""
+        look = value.translate(_CLASSES)
+        if look not in self.known:
+            if len(self.known) >= 200_000:
+                self.known.clear()
+            self.known[look] = self.score(value.decode())[0] >= self.min_bits
+        return self.known[look]
+
     def spans(self, data: bytes, base: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
         """The learned spans: candidates apart from the base spans that the automata take for credentials."""
         if not self.kinds:
             return []
         out = []
         for start, end, value in candidates(data):
-            if not any(s < end and start < e for s, _, e, _ in base) and self.score(value)[0] >= self.min_bits:
-                out.append((start, 3, end, start))
+            if self.takes(value):
+                start = points(data, start)
+                end = start + len(value)
+                if not any(s < end and start < e for s, _, e, _ in base):
+                    out.append((start, 3, end, start))
         return out
 
 
 def examples(docs: DataFrame, sample: int = 1_000, longest: int = 512) -> dict[str, list[str]]:
-    """Per kind, and `background`, the `sample` distinct values of smallest hash over all documents."""
+    """Per kind, and of `background` and `words`, the `sample` distinct values of smallest hash over all documents."""
 
     def per_task(batches):
         least: dict[str, list] = {}
         inside: dict[str, set] = {}
+        passed: set[str] = set()
 
         def offer(kind: str, value: str) -> None:
-            if len(value) > longest or value in inside.setdefault(kind, set()):
+            if len(value) > longest or value in inside.setdefault(kind, set()) or kind == "words" and value in passed:
                 return
             heap = least.setdefault(kind, [])
             item = (-int.from_bytes(hashlib.md5(value.encode()).digest()[:7]), value)
@@ -201,6 +218,11 @@ def examples(docs: DataFrame, sample: int = 1_000, longest: int = 512) -> dict[s
             elif item > heap[0]:
                 inside[kind].discard(heapq.heapreplace(heap, item)[1])
             else:
+                # Hashes that are left out once stay out; words are hashed again only when too many are kept.
+                if kind == "words":
+                    if len(passed) >= 200_000:
+                        passed.clear()
+                    passed.add(value)
                 return
             inside[kind].add(value)
 
@@ -210,14 +232,16 @@ def examples(docs: DataFrame, sample: int = 1_000, longest: int = 512) -> dict[s
                 text = data.decode() if base else ""
                 for _, kind, end, value in base:
                     offer(KINDS[kind], text[value:end])
+                # Base spans in bytes, as the candidates are.
+                inner = [(len(text[:s].encode()), len(text[:e].encode())) for s, _, e, _ in base]
                 for start, end, value in candidates(data):
-                    if not any(s < end and start < e for s, _, e, _ in base):
-                        offer("background", value)
+                    if not any(s < end and start < e for s, e in inner):
+                        offer(background(value), value.decode())
         rows = [(k, -h, v) for k, heap in least.items() for h, v in heap]
         yield {"kind": [r[0] for r in rows], "hash": [r[1] for r in rows], "value": [r[2] for r in rows]}
 
     found = cut(map_arrow(docs, ["text"], per_task, "kind string, hash bigint, value string"))
-    return {k: [r["value"] for r in found.where(F.col("kind") == k).distinct().orderBy("hash", "value").limit(sample).collect()] for k in (*KINDS[:3], "background")}
+    return {k: [r["value"] for r in found.where(F.col("kind") == k).distinct().orderBy("hash", "value").limit(sample).collect()] for k in (*KINDS[:3], "background", "words")}
 
 
 def written(spans: list[tuple[int, int, int, int]]) -> str:

@@ -1,5 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing extra columns, for every operator."""
 
+import random
+import string
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +60,19 @@ def test_packing_edges(awkward, empty):
     assert packing.pack(empty).count() == 0
 
 
+def test_secrets_score_short_and_letters_only_runs():
+    rng = random.Random(3)
+    draw = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    upper = string.ascii_uppercase
+    words = sorted({draw(rng.randint(6, 12), "etaoinshrdlu") for _ in range(400)})
+    f = secrets.Formats({"assign": sorted(draw(rng.randint(8, 24), upper) for _ in range(400)), "words": words})
+    key, short = draw(20, upper), draw(12, upper)
+    text = f"é prose {words[0]} {key} {words[1]} {short}"
+    got = [text[s:e] for s, _, e, _ in f.spans(text.encode(), [])]
+    assert got == [key, short]
+    assert [v for _, _, v in secrets.candidates("aé abcdef abc 123456".encode())] == [b"abcdef", b"123456"]
+
+
 @pytest.mark.parametrize(("lengths", "m"), [([8, 7, 6, 5, 4], 2), ([5] * 12, 4), ([], 3), ([9], 3), (list(range(1, 40)), 5)])
 def test_differencing_is_near_equal(lengths, m):
     parts = packing.differencing(lengths, m)
