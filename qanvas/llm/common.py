@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -21,20 +23,60 @@ ALNUM = bytes(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a local one is set only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only in local mode, where there is but one
+    machine, an unset one is set; on a cluster that raises."""
     at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = os.environ.get("QANVAS_CHECKPOINT_DIR", "/tmp/checkpoints")
-        spark.sparkContext.setCheckpointDir(at)
-    elif not spark.sparkContext.getCheckpointDir():
+        if not (spark.sparkContext.master or "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        at = os.environ.get("QANVAS_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="checkpoints-")
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(at)
     return at
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and go on from the files: survives lost executors and ends the lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: Shuffle files of a finished write go at once instead of when the driver next collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """Write df to the shared folder as Parquet and go on from the files: survives lost executors, ends the lineage, and
+    lets the planner see true sizes. The table stays until `scratch`, if one is given, is told to drop it."""
+    spark = df.sparkSession
+    path = fresh_path(spark, "table")
+    was = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, was)
+    out = spark.read.schema(df.schema).parquet(path)
+    if scratch is not None:
+        scratch.paths[id(out)] = (out, path)
+    return out
+
+
+class Scratch:
+    """Written tables that a job drops as soon as nothing reads them any more."""
+
+    def __init__(self) -> None:
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        return cut(df, self)
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete the files of these tables; others (not of this scratch) are left alone."""
+        for table in tables:
+            if id(table) in self.paths:
+                _, path = self.paths.pop(id(table))
+                context = table.sparkSession.sparkContext
+                at = context._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+    def drop_all(self, but: tuple[DataFrame, ...] = ()) -> None:
+        keep = {id(t) for t in but}
+        self.drop(*[t for i, (t, _) in list(self.paths.items()) if i not in keep])
 
 
 def fresh_path(spark: SparkSession, what: str) -> str:
@@ -56,10 +98,20 @@ def map_arrow(
                 [pa.array(out[f.name], type=f.type) if not isinstance(out[f.name], pa.Array) else out[f.name].cast(f.type) for f in target],
                 schema=target,
             )
+        release()
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system, since Python workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

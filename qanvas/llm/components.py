@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import Scratch
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,20 +16,25 @@ def components(links: DataFrame) -> DataFrame:
     then stands for two at least, so rounds and steps grow with the logarithm of the nodes. Each is written to the
     shared folder.
     """
-    links = cut(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    scratch = Scratch()
+    links = scratch.cut(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     labels = None
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        parents = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("b")))
+        parents = scratch.cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("b"), F.lit(True).alias("moved")))
         while True:
             step = parents.select(F.col("a").alias("__of"), F.col("b").alias("__to"))
-            moved = cut(parents.join(step, F.col("b") == F.col("__of")).select("a", F.col("__to").alias("b"), (F.col("__to") != F.col("b")).alias("moved")))
-            parents = moved.select("a", "b")
+            moved = scratch.cut(parents.join(step, F.col("b") == F.col("__of")).select("a", F.col("__to").alias("b"), (F.col("__to") != F.col("b")).alias("moved")))
+            scratch.drop(parents)
+            parents = moved
             if moved.where("moved").isEmpty():
                 break
-        labels = cut(parents if labels is None else _through(labels, parents, "b").unionByName(_new(parents, labels)))
-        links = _through(_through(links, parents, "a"), parents, "b").where("a <> b")
-        links = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        to = parents.select("a", "b")
+        labelled = scratch.cut(to if labels is None else _through(labels, to, "b").unionByName(_new(to, labels)))
+        left = _through(_through(links, to, "a"), to, "b").where("a <> b")
+        left = scratch.cut(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        scratch.drop(parents, links, *([] if labels is None else [labels]))
+        labels, links = labelled, left
     return (links if labels is None else labels).select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 

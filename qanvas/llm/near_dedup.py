@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, cut, map_arrow, shielded, text_bytes
+from .common import ALNUM, Scratch, cut, map_arrow, shielded, text_bytes
 from .components import components
 from .shingles import band_hashes, overlap, pack_multiset, shingle_runs, signatures, unpack_multiset
 
@@ -115,10 +115,10 @@ def _own_weights(multisets: DataFrame) -> DataFrame:
 
 
 def _inner_weights(multisets: DataFrame, places: DataFrame) -> DataFrame:
-    """(nid, inner): the weight of each node of places (nid, c) in shingles of no other component than its own c."""
+    """(nid, inner): the weight of each node of places (nid, c) in shingles of no other component than its own c.
+    The shingle rows are made twice rather than written."""
     rows = _shingle_rows(multisets.join(places.select("nid"), "nid", "left_semi")).join(places.withColumnRenamed("c", "comp"), "nid")
-    rows = cut(rows)
-    inner = cut(rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo = hi").select("shingle"))
+    inner = rows.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo = hi").select("shingle")
     return rows.join(inner, "shingle", "left_semi").groupBy("nid").agg(F.sum("c").alias("inner"))
 
 
@@ -141,26 +141,33 @@ _NID_BITS = 53
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class), key: one row per document."""
+    scratch = Scratch()
+    cut, drop = scratch.cut, scratch.drop
     sketched = cut(sketch(docs, size))
     nodes = sketched.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     nodes = cut(nodes.withColumn("nid", F.monotonically_increasing_id()))
+    owners = cut(sketched.select("doc_id", "key"))
+    drop(sketched)
     banded = nodes.select("nid", F.explode("bands").alias("band"))
     shared = cut(banded.groupBy("band").count().where("count > 1").select("band"))
     together = cut(banded.join(shared, "band").select("band", "nid"))
+    drop(shared)
     wanted = cut(together.select("nid").distinct().join(nodes.select("nid", "key", "doc_id"), "nid"))
     multisets = cut(_multisets(docs, wanted, size))
+    drop(wanted)
 
     stats = multisets.select("nid", "weight").join(_own_weights(multisets), "nid", "left").na.fill({"own": 0})
     able = F.col("weight") - F.col("own")
     stats = cut(stats.select("nid", "weight", able.alias("able")).where(able >= threshold * F.col("weight") - 1e-9))
-    placed = cut(together.join(stats, "nid"))
+    placed = together.join(stats, "nid")
     rank = F.shiftleft(F.floor(1023 * (1 - F.col("able") / F.col("weight"))).cast("long"), _NID_BITS).bitwiseOR(F.col("nid"))
     pivots = placed.groupBy("band").agg(F.min(rank).alias("rank"), F.count("*").alias("n")).where("n > 1")
     pivots = pivots.select("band", F.col("rank").bitwiseAND(F.lit((1 << _NID_BITS) - 1)).alias("b"))
     pivots = cut(pivots.join(stats.select(F.col("nid").alias("b"), F.col("weight").alias("wp")), "b").select("band", "b", "wp"))
     members = cut(placed.join(pivots, "band").withColumnRenamed("nid", "a"))
+    drop(together, stats, pivots)
     tested = cut(_verified(members.where("a <> b").select("a", "b").distinct(), multisets))
-    links = tested.where(F.col("similarity") >= threshold).select("a", "b")
+    links = cut(tested.where(F.col("similarity") >= threshold).select("a", "b"))
     stage = components(links)
 
     # What the stars leave open: members of one band in different components that neither bound rules out.
@@ -169,26 +176,34 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5) -> D
     # The weight that a member shares with the pivot, and the shareable rest.
     with_pivot = s * (F.col("weight") + F.col("wp")) / (1 + s)
     open_ = cut(open_.select("band", "a", "weight", "able", s.alias("s"), with_pivot.alias("i"), (F.col("able") - with_pivot).alias("r"), F.coalesce("component", "a").alias("c")))
-    torn = cut(open_.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band"))
+    drop(members, tested)
+    torn = open_.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band")
     rest = cut(open_.join(torn, "band", "left_semi"))
-    inner = cut(_inner_weights(multisets, rest.select(F.col("a").alias("nid"), "c").distinct()))
-    rest = rest.join(inner, F.col("a") == F.col("nid"), "left").na.fill({"inner": 0}).withColumn("able", F.col("weight") - F.col("inner"))
-    rest = cut(rest.where((F.col("s") < 1.0) & (F.col("able") >= threshold * F.col("weight") - 1e-9)).drop("nid", "inner"))
-    rest = rest.join(nodes.select(F.col("nid").alias("a"), "bands"), "a")
-    names = ("s", "c", "weight", "able", "i", "r", "bands")
-    x, y = (rest.select("band", F.col("a").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in names]) for n in ("a", "b"))
-    most = F.least("able_a", "able_b", F.least("i_a", "i_b") + F.least("r_a", "r_b"))
-    near = (F.abs(F.col("s_a") - F.col("s_b")) <= 1 - threshold + 1e-9) & (most >= threshold * (F.col("weight_a") + F.col("weight_b") - most) - 1e-6)
-    # A pair of several bands is made in the first of them only; there it is verified or ruled out once and for all.
-    once = F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b"))
-    across = x.join(y, "band").where((F.col("c_a") < F.col("c_b")) & near & once).select("a", "b")
-    more = _verified(across, multisets).where(F.col("similarity") >= threshold).select("a", "b")
-    final = components(links.unionByName(cut(more)))
+    drop(open_)
+    if rest.isEmpty():
+        final = stage
+    else:
+        inner = _inner_weights(multisets, cut(rest.select(F.col("a").alias("nid"), "c").distinct()))
+        left = rest.join(inner, F.col("a") == F.col("nid"), "left").na.fill({"inner": 0}).withColumn("able", F.col("weight") - F.col("inner"))
+        left = left.where((F.col("s") < 1.0) & (F.col("able") >= threshold * F.col("weight") - 1e-9)).drop("nid", "inner")
+        left = cut(left.join(nodes.select(F.col("nid").alias("a"), "bands"), "a"))
+        drop(rest)
+        names = ("s", "c", "weight", "able", "i", "r", "bands")
+        x, y = (left.select("band", F.col("a").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in names]) for n in ("a", "b"))
+        most = F.least("able_a", "able_b", F.least("i_a", "i_b") + F.least("r_a", "r_b"))
+        near = (F.abs(F.col("s_a") - F.col("s_b")) <= 1 - threshold + 1e-9) & (most >= threshold * (F.col("weight_a") + F.col("weight_b") - most) - 1e-6)
+        # A pair of several bands is made in the first of them only; there it is verified or ruled out once and for all.
+        once = F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b"))
+        across = x.join(y, "band").where((F.col("c_a") < F.col("c_b")) & near & once).select("a", "b")
+        more = cut(_verified(across, multisets).where(F.col("similarity") >= threshold).select("a", "b"))
+        final = components(links.unionByName(more))
+    drop(multisets)
 
     own = cut(nodes.join(final, F.col("nid") == F.col("node"), "left").select("key", "doc_id", F.coalesce("component", "nid").alias("c")))
-    first = cut(own.groupBy("c").agg(F.min("doc_id").alias("class_id")))
+    first = own.groupBy("c").agg(F.min("doc_id").alias("class_id"))
     classes = cut(own.join(first, "c").select("key", "class_id"))
-    return sketched.select("doc_id", "key").join(classes, "key").select("doc_id", "class_id", "key")
+    scratch.drop_all(but=(owners, classes))
+    return owners.select("doc_id", "key").join(classes, "key").select("doc_id", "class_id", "key")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

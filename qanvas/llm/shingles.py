@@ -23,7 +23,11 @@ _BASE = 0xD6E8FEB86659FD93
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 _SLOT = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | U(1)
+#: Texts of one call: the document's number has the 16 bits above a 48-bit hash.
+_MOST = 1 << 16
+#: Tables of powers, kept in a worker: 16 MB, since longer pieces than `piece` bytes are rare and build their own.
 _powers: list[np.ndarray] = []
+_KEPT = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,17 +39,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2^64."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 20)
-        _powers.clear()
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
-            x = np.full(size, b, dtype=np.uint64)
-            x[0] = 1
-            _powers.append(np.multiply.accumulate(x))
-    return _powers[0], _powers[1]
-
-
-def word_hashes(joined: bytes, piece: int = 4 << 20) -> tuple[np.ndarray, np.ndarray]:
+    if _powers and len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    tables = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        x = np.full(max(n, _KEPT), b, dtype=np.uint64)
+        x[0] = 1
+        tables.append(np.multiply.accumulate(x))
+    if n <= _KEPT:
+        _powers[:] = tables
+    return tables[0], tables[1]
+
+
+def word_hashes(joined: bytes, piece: int = (1 << 20) - 64) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of every word of normalised bytes that end in a space. Taken in pieces that end at a space, so
     the tables of powers and the sums stay small for very long texts (but for a single word longer than a piece)."""
     all_starts, all_hashes, at = [], [], 0
@@ -68,6 +74,9 @@ def word_hashes(joined: bytes, piece: int = 4 << 20) -> tuple[np.ndarray, np.nda
 
 def shingle_runs(texts: list[bytes], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document number, shingle hash, count) of the distinct shingles, by document and hash."""
+    if len(texts) > _MOST:
+        parts = [(at, shingle_runs(texts[at : at + _MOST], size)) for at in range(0, len(texts), _MOST)]
+        return tuple(np.concatenate([r[i] + at if i == 0 else r[i] for at, r in parts]) for i in range(3))
     joined = b" ".join(texts).translate(ALNUM) + b" "
     starts, hashes = word_hashes(joined)
     if not len(starts):
