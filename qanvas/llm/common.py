@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,6 +119,17 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+def lots(batch: pa.RecordBatch, size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `size` bytes of text each (one row at least)."""
+    n = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0), dtype=np.int64)
+    edges = np.cumsum(n)
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(edges, (edges[at - 1] if at else 0) + size)))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def shielded(docs: DataFrame, needed: Iterable[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """work(docs), which keeps docs' columns, with all columns but the needed ones under names that work does not use."""
     aside = {c: f"own_{i}" for i, c in enumerate(docs.columns) if c not in set(needed)}

@@ -3,15 +3,18 @@
 A document is tokenised whole; its full windows leave at once as sequences of their own, and its last piece joins a
 group. Each group is packed by multiway differencing: the two partial partitions with the largest imbalance merge, the
 fullest windows of one on the emptiest of the other, until one is left; if a window exceeds the capacity the window
-count rises by one. Since documents may be cut freely, the near-equal windows are then levelled: pieces of the emptiest
-windows fill the others to the brim, and what remains waits for the next group. A task's last remainder is cut at
-powers of two, which need no padding.
+count rises by one. The windows stay as differencing made them. Before it, just so many pieces are held back for the next
+group that the others nearly fill a whole number of windows (all but a slack of some tokens a window, larger where the count would rise); after it, the small gaps
+are closed with last pieces of documents of over a window, which are cut already, or with whole pieces held back.
+So a document that fits a window is cut only if it is in the last remainder of its task, less than a window, which is cut
+at powers of two and needs no padding.
 
 All of this happens within a task, on a bounded group of pieces, without a shuffle; a retried task repeats its sequence
 ids, which carry the partition number.
 
 Tokens: white space is never part of a token of the word-level BPE, so texts are split at ASCII white space and every
-distinct word is encoded once and cached as the bytes of its ids (bounded; the cache is emptied when full).
+distinct word of a lot is put together once, from words and tails whose ids are cached (bounded in bytes; when it is full,
+those that no lot has met again are forgotten).
 
 Defined cases: null text is empty, and an empty document is its end id alone; repeated and null ids pack like any other
 row; extra columns are ignored; an empty table gives no pieces.
@@ -23,13 +26,13 @@ import heapq
 import os
 import zlib
 from array import array
+from bisect import bisect_right
 from dataclasses import dataclass
-from itertools import filterfalse
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import map_arrow, text_bytes
+from .common import lots, map_arrow, text_bytes
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -53,12 +56,14 @@ class Encoder:
     hold a special token are left as they are.
     """
 
-    def __init__(self, path: str, max_words: int = 800_000) -> None:
+    def __init__(self, path: str, max_bytes: int = 72 << 20) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.max_words = Tokenizer.from_file(path), max_words
+        self.tokenizer, self.max_bytes = Tokenizer.from_file(path), max_bytes
+        # Ids of words, about how much room they take, and the words met again since some were last forgotten.
         self.known: dict[bytes, bytes] = {}
+        self.size, self.again = 0, set()
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends_word[i] = token.endswith("</w>")
@@ -87,13 +92,23 @@ class Encoder:
             for (w, _), ids in zip(part, self._ids([t for _, t in part]), strict=True):
                 self.known[w] = array("I", ids).tobytes()
 
-    def learn(self, texts: list[list[bytes]]) -> None:
-        new = list(filterfalse(self.known.__contains__, set().union(*texts)))
-        if len(self.known) + len(new) > self.max_words:
-            self.known.clear()
-            new = list(set().union(*texts))
+    def learn(self, atoms: set[bytes]) -> None:
+        """Have the ids of all these words in the cache."""
+        new = atoms.difference(self.known)
+        met = atoms - new
+        self.again |= met
+        room = _ENTRY * len(new) + 3 * sum(map(len, new))
+        if self.size + room > self.max_bytes:
+            keep = self.again if len(self.again) * 2 * _ENTRY < self.max_bytes else met
+            self.known = {w: self.known[w] for w in keep}
+            self.size, self.again = _ENTRY * len(keep) + 3 * sum(map(len, keep)), set()
+        self.size += room
+        self._encode_words(list(new))
+
+    def table(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of each of these words."""
         composed, atoms = [], set()
-        for w in new:
+        for w in words:
             core = w.rstrip(PUNCTUATION)
             if len(core) < len(w) and core and core[-1] < 128 and core[-1:].isalnum() and b"<|" not in w:
                 composed.append((w, core, tail := w[len(core) :]))
@@ -101,17 +116,21 @@ class Encoder:
                 atoms.add(tail)
             else:
                 atoms.add(w)
-        self._encode_words(list(filterfalse(self.known.__contains__, atoms)))
+        self.learn(atoms)
         known = self.known
+        out = {a: known[a] for a in atoms}
         for w, core, tail in composed:
-            known[w] = known[core] + known[tail]
+            out[w] = known[core] + known[tail]
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self.learn(split)
-        return [b"".join(map(self.known.__getitem__, s)) for s in split]
+        ids = self.table(set().union(*split)).__getitem__
+        return [b"".join(map(ids, s)) for s in split]
 
 
+#: About the bytes of a cached word beside its letters and ids.
+_ENTRY = 150
 _encoders: dict[str, Encoder] = {}
 
 
@@ -167,28 +186,64 @@ def windows(lengths: list[int], capacity: int) -> list[list[int]]:
         m += 1
 
 
-def level(parts: list[list[Piece]], capacity: int) -> tuple[list[list[Piece]], list[Piece]]:
-    """Fill windows to the brim with pieces cut from the emptiest; what is left over comes second."""
-    load = lambda part: sum(p.length for p in part)
-    parts = sorted(([*p] for p in parts if p), key=load)
-    spare: list[Piece] = []
-    full = []
-    while parts:
-        part = parts.pop()
-        gap = capacity - load(part)
-        while gap:
-            if not spare:
-                if not parts:
-                    return full, part
-                spare = parts.pop(0)
-            piece = spare.pop()
+def held_back(pieces: list[Piece], room: int) -> tuple[list[Piece], list[Piece]]:
+    """(taken, held): pieces that sum to room at most, and near it; at least one is taken."""
+    over = sum(p.length for p in pieces) - room
+    taken, held = [], []
+    for p in sorted(pieces, key=lambda p: -p.length):
+        if p.length <= over:
+            held.append(p)
+            over -= p.length
+        else:
+            taken.append(p)
+    if over > 0 and len(taken) > 1:
+        held.append(taken.pop())
+    return taken, held
+
+
+def close_gaps(parts: list[list[Piece]], spare: list[Piece], capacity: int) -> list[Piece]:
+    """Fill windows with spare pieces: those of documents that are cut anyway are cut to measure, others go whole or not
+    at all. What is left of the spare ones is returned."""
+    cuttable = sorted((p for p in spare if p.doc_tokens > capacity), key=lambda p: p.length)
+    whole = sorted((p for p in spare if p.doc_tokens <= capacity), key=lambda p: p.length)
+    sizes = [p.length for p in whole]
+    for part in parts:
+        gap = capacity - sum(p.length for p in part)
+        while gap and (at := bisect_right(sizes, gap)):
+            part.append(whole.pop(at - 1))
+            gap -= sizes.pop(at - 1)
+        while gap and cuttable:
+            piece = cuttable.pop()
             if piece.length > gap:
                 piece, rest = piece.split(gap)
-                spare.append(rest)
+                cuttable.append(rest)
             part.append(piece)
             gap -= piece.length
-        full.append(part)
-    return full, spare
+    return whole + cuttable
+
+
+def pack_group(pieces: list[Piece], capacity: int, slacks: tuple[int, ...] = (24, 64, 128)) -> tuple[list[list[Piece]], list[Piece]]:
+    """Windows over most of the pieces, and the pieces that wait for the next group."""
+    total = sum(p.length for p in pieces)
+    if total < capacity:
+        return [], pieces
+    # Pieces of long documents, more than the gaps should take, stay out of the windows.
+    fill, room = [], 4 * capacity
+    for p in sorted((p for p in pieces if p.doc_tokens > capacity), key=lambda p: p.length):
+        if room <= 0 or total - p.length < capacity:
+            break
+        fill.append(p)
+        room -= p.length
+        total -= p.length
+    aside = {id(p) for p in fill}
+    rest, count = [p for p in pieces if id(p) not in aside], max(1, total // capacity)
+    for slack in slacks:
+        taken, held = held_back(rest, count * (capacity - slack))
+        found = windows([p.length for p in taken], capacity)
+        if len(found) <= count:
+            break
+    parts = [[taken[i] for i in part] for part in found]
+    return parts, close_gaps(parts, fill + held, capacity)
 
 
 def powers_of_two(pieces: list[Piece], capacity: int) -> list[list[Piece]]:
@@ -208,7 +263,7 @@ def powers_of_two(pieces: list[Piece], capacity: int) -> list[list[Piece]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 4096, end_id: int = 2, group: int = 256) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 4096, end_id: int = 2, group: int = 512) -> DataFrame:
     """A row per piece; see SCHEMA. `group` bounds the pieces packed together (time and memory of one differencing)."""
     path = tokenizer_path or default_tokenizer()
 
@@ -235,22 +290,14 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 409
                 sequence += 1
 
         def settle():
-            parts = windows([p.length for p in waiting], capacity)
-            full, rest = level([[waiting[i] for i in part] for part in parts], capacity)
-            emit(full)
-            waiting[:] = rest
+            parts, waiting[:] = pack_group(waiting, capacity)
+            emit(parts)
 
         clear()
         for batch in batches:
-            ids_column = batch.column("doc_id").to_pylist()
-            texts = text_bytes(batch.column("text"))
-            at = 0
-            while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and (stop == at or size < 4_000_000):  # bounds what is encoded at once
-                    size += len(texts[stop])
-                    stop += 1
-                for doc_id, ids in zip(ids_column[at:stop], encoder(path).encode(texts[at:stop]), strict=True):
+            # Lots that bound what is encoded at once, whatever the batch holds.
+            for lot in lots(batch, 4_000_000):
+                for doc_id, ids in zip(lot.column("doc_id").to_pylist(), encoder(path).encode(text_bytes(lot.column("text"))), strict=True):
                     ids += end
                     n = len(ids) // 4
                     whole = n - n % capacity
@@ -260,11 +307,10 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 409
                         waiting.append(Piece(doc_id, ids[4 * whole :], whole, n - whole, n))
                     if len(waiting) >= group:
                         settle()
-                at = stop
             if len(rows["start"]) >= 5_000:
                 yield {**rows}
                 clear()
-        if waiting:
+        while sum(p.length for p in waiting) >= capacity:
             settle()
         emit(powers_of_two(waiting, capacity))
         if rows["start"]:

@@ -73,6 +73,28 @@ def test_secrets_score_short_and_letters_only_runs():
     assert [v for _, _, v in secrets.candidates("aé abcdef abc 123456".encode())] == [b"abcdef", b"123456"]
 
 
+def test_groups_pack_tightly_without_cutting_documents_that_fit():
+    rng = np.random.default_rng(4)
+    n = rng.integers(20, 1500, 400).tolist()
+    pieces = [packing.Piece(i, bytes(4 * x), 0, x, x) for i, x in enumerate(n)]
+    parts, left = packing.pack_group(pieces, 4096)
+    assert sorted(p.doc_id for part in [*parts, left] for p in part) == list(range(400))
+    loads = [sum(p.length for p in part) for part in parts]
+    assert max(loads) <= 4096 and sum(loads) > 0.97 * 4096 * len(loads)
+    assert sum(p.length for p in left) < 2 * 4096
+    tails = [packing.Piece(1000 + i, bytes(4 * 3000), 4096, 3000, 7096) for i in range(3)]
+    parts, left = packing.pack_group([*pieces, *tails], 4096)
+    assert all(sum(p.length for p in part) == 4096 for part in parts)
+
+
+def test_word_cache_is_bounded_and_changes_nothing():
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choice("abcdeé1,.'") for _ in range(rng.randint(1, 9))) for _ in range(300)).encode() for _ in range(40)]
+    small, large = packing.Encoder(packing.default_tokenizer(), 200_000), packing.Encoder(packing.default_tokenizer())
+    assert [x for t in texts for x in small.encode([t])] == large.encode(texts)
+    assert small.size <= 200_000 + 300 * 2 * 300
+
+
 @pytest.mark.parametrize(("lengths", "m"), [([8, 7, 6, 5, 4], 2), ([5] * 12, 4), ([], 3), ([9], 3), (list(range(1, 40)), 5)])
 def test_differencing_is_near_equal(lengths, m):
     parts = packing.differencing(lengths, m)

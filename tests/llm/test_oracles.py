@@ -45,7 +45,7 @@ def test_language_model_counts_and_beats_the_base(spark, documents):
         assert r["score"] < 0
 
 
-def test_packing_is_an_exact_round_trip_without_padding(spark, documents):
+def test_packing_is_an_exact_round_trip_with_little_padding(spark, documents):
     import public_tokenizers
     from tokenizers import Tokenizer
 
@@ -63,6 +63,7 @@ def test_packing_is_an_exact_round_trip_without_padding(spark, documents):
             assert p["ids_crc32"] == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in own))
             at += p["length"]
         assert at == len(ids)
+    padding = 0
     for parts in sequences.values():
         parts.sort(key=lambda p: p["offset"])
         total = 0
@@ -70,7 +71,11 @@ def test_packing_is_an_exact_round_trip_without_padding(spark, documents):
             assert p["offset"] == total
             total += p["length"]
         assert total <= 4096
-        assert total & (total - 1) == 0
+        padding += 4096 - total if total & (total - 1) else 0
+    assert padding < 0.02 * 4096 * len(sequences)
+    # Differencing's windows stay: a document that fits one is cut only in a task's last remainder.
+    cut = [i for i, p in pieces.items() if len(p) > 1 and p[0]["doc_tokens"] <= 4096]
+    assert len(cut) <= 0.02 * len(pieces)
 
 
 def test_secrets_base_spans_by_brute_force(spark, documents):
