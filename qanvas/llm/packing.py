@@ -222,7 +222,7 @@ def close_gaps(parts: list[list[Piece]], spare: list[Piece], capacity: int) -> l
     return whole + cuttable
 
 
-def pack_group(pieces: list[Piece], capacity: int, slacks: tuple[int, ...] = (24, 64, 128)) -> tuple[list[list[Piece]], list[Piece]]:
+def pack_group(pieces: list[Piece], capacity: int, slacks: tuple[int, ...] = (24, 64, 96, 128)) -> tuple[list[list[Piece]], list[Piece]]:
     """Windows over most of the pieces, and the pieces that wait for the next group."""
     total = sum(p.length for p in pieces)
     if total < capacity:
