@@ -2,6 +2,7 @@
 
 import random
 import string
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ import corpus_pipeline
 from qanvas.llm import decontaminate, language_model, near_dedup, packing, quality, secrets, site_tree, topk, toxicity, warc
 from qanvas.llm.components import components
 
+from ..conftest import SF
 from .conftest import BASE
 
 QUERY = "vec_id % 2 = 0"
@@ -140,14 +142,40 @@ def test_block_max_search_is_exact():
     vocabulary = [f"w{i}".encode() for i in range(60)]
     texts = [b" ".join(vocabulary[i] for i in rng.integers(0, 60, 12)) for _ in range(300)]
     index = toxicity.Index(list(range(300)), texts, [int(b"w1 " in t) for t in texts], k=7, block=16)
-    dense = np.zeros((300, len(index.number) + 1))
-    for i, t in enumerate(texts):
-        terms, w = index.weigh(index.counts(t))
+    brute_force_cosines(index, texts, texts[:60])
+
+
+def brute_force_cosines(index, examples, queries):
+    dense = np.zeros((len(examples), len(index.number)))
+    for i, t in enumerate(examples):
+        terms, w = index.weigh(Counter(toxicity.words(t)))
         dense[i, terms] = w
-    for t in texts[:60]:
-        terms, w = index.weigh(index.counts(t))
-        _, cosines = index.search((terms, w))
-        assert np.allclose(cosines, np.sort(dense[:, terms] @ w)[::-1][:7])
+    for t, (found, cosines) in zip(queries, index.search_texts(queries), strict=True):
+        terms, w = index.weigh(Counter(toxicity.words(t)))
+        all_ = dense[:, terms] @ w
+        assert np.allclose(cosines, np.sort(all_[all_ > 0])[::-1][: index.k])
+        assert np.allclose(all_[index.place[found]], cosines)
+
+
+def test_block_max_search_is_exact_on_the_documents_and_skips_blocks(spark):
+    """Every document against all labelled examples; terms are all words of two examples or more."""
+    docs, labels = (spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    index = toxicity.fit(docs, labels)
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    back = np.argsort(index.place)
+    examples = [texts[i] for i in index.ids[back].tolist()]
+    index.scored = 0
+    brute_force_cosines(index, examples, list(texts.values()))
+    assert index.scored < 0.95 * index.n_blocks * len(texts)
+    df = Counter(w for t in set(examples) for w in set(toxicity.words(t)))
+    assert set(index.number) == {w for w, f in df.items() if f >= 2}
+
+
+def test_toxicity_ties_go_to_the_first_example():
+    index = toxicity.Index([5, 6, 7, 8], [b"a b", b"a b", b"a b", b"c d"], [1, 0, 1, 0], k=2, block=2, min_df=1)
+    found, cosines = next(index.search_texts([b"A, B!"]))
+    assert index.ids[found].tolist() == [5, 6]
+    assert np.allclose(cosines, 1)
 
 
 def test_secret_edges(awkward, empty, spark):
