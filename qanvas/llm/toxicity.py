@@ -208,7 +208,7 @@ def calibrate(votes: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float,
     return float(a), float(b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 6_000) -> Index | None:
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 6_000, block: int = 64) -> Index | None:
     sample = labelled(labels, "toxic", (5, 0), max_examples)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "y").dropDuplicates()
 
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = 6_000) -> Index
     if not got:
         return None
     got.sort(key=lambda r: (r["doc_id"], bytes(r["text"])))
-    return Index([r["doc_id"] for r in got], [bytes(r["text"]) for r in got], [r["y"] for r in got])
+    return Index([r["doc_id"] for r in got], [bytes(r["text"]) for r in got], [r["y"] for r in got], block=block)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, max_examples: int = 6_000, evidence: int = 5) -> DataFrame:

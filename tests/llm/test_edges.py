@@ -160,7 +160,7 @@ def brute_force_cosines(index, examples, queries):
 def test_block_max_search_is_exact_on_the_documents_and_skips_blocks(spark):
     """Every document against all labelled examples; terms are all words of two examples or more."""
     docs, labels = (spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.01')}/{t}.parquet") for t in ("documents", "labels"))
-    index = toxicity.fit(docs, labels)
+    index = toxicity.fit(docs, labels, block=8)
     texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
     back = np.argsort(index.place)
     examples = [texts[i] for i in index.ids[back].tolist()]
