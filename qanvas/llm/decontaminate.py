@@ -6,8 +6,9 @@ if it is shorter), so one pass over a document's word numbers finds every window
 to an offset in the original text.
 
 Size: the automaton is broadcast, so it is bounded: `max_windows` windows a block. A benchmark with more windows is
-scanned in several blocks chained in one pass over the documents (each adds to the hits of the one before), so nothing
-is dropped. There is no shuffle; text never leaves its task.
+scanned in several blocks, one after another (each adds to the hits of the one before, and what it found is written to
+the shared folder before the next begins), so nothing is dropped and a worker holds one automaton at a time. There is no
+shuffle; with one block, text never leaves its task.
 
 Defined cases: null or wordless text has n_words 0 and no hits; null or wordless items have no window; items with a
 null id hit words but are not listed; repeated items count once by id; extra columns are ignored.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM, map_arrow, shielded, text_bytes
+from .common import ALNUM, Scratch, map_arrow, release, shielded, text_bytes
 
 WINDOW = 13
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -116,15 +117,20 @@ def _scan_block(docs: DataFrame, block: dict, first: bool) -> DataFrame:
                     out[k].append(v)
             columns = [batch.column(c) for c in own] + [pa.array(out[k], type=t) for k, t in zip(FLAGS, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())), strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[*own, *FLAGS])
+        release()
 
     return docs.select(*own, *([] if first else FLAGS)).mapInArrow(per_task, schema)
 
 
 def flagged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_windows: int = 100_000) -> DataFrame:
     """docs with what the scan found on each row; rows are judged one by one, so repeated or null ids need no join."""
-    scanned = None
+    scanned, written, scratch = None, None, Scratch()
     for block in word_blocks(benchmark, window, max_windows):
-        scanned = _scan_block(docs if scanned is None else scanned, block, scanned is None)
+        if scanned is not None:
+            was, written = written, scratch.cut(scanned)
+            if was is not None:
+                scratch.drop(was)
+        scanned = _scan_block(docs if written is None else written, block, written is None)
     return _scan_block(docs, {}, True) if scanned is None else scanned
 
 

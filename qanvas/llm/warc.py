@@ -6,10 +6,13 @@ of every frame, then the count, flags and the seekable magic number, in the publ
 record identifier to its bundle, frame and offset within the decompressed frame.
 
 Equal payloads: the digest of every payload is grouped (partial counts first, so one digest on a third of all pages is
-no hot task), and only digests that occur more than once come back to the pages.
+no hot task), and only digests that occur more than once come back to the pages: broadcast if they are few (a checked
+count), so pages stay in their tasks; else by a join on digest and a salt, so a digest on a third of all pages is dealt to
+many tasks.
 
-Bundles are written through pyarrow.fs to the shared folder under a temporary name and renamed, and their names follow
-from the partition, so a retried or repeated task replaces them with the same bytes.
+Bundles are written through pyarrow.fs to the shared folder, under names of their own for every attempt of a task. The
+index, which Spark commits once a task, names the bundles of the attempts that count; those of lost, repeated or
+speculative attempts are never named by it and can be deleted at any time.
 
 Defined cases: null html is an empty payload; payloads under `min_revisit` bytes are always responses; of equal
 payloads the largest page_id is the response (null is smaller than any id, and repeated rows of that id are all
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_path, map_arrow, text_bytes
+from .common import Scratch, cut, fresh_path, map_arrow, text_bytes
 
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC = 0x184D2A5E, 0x8F92EAB1
@@ -117,27 +121,31 @@ class Bundle:
             self.size += len(self.out[-1])
             self.open = bytearray()
 
-    def write(self, uri: str, attempt: str) -> list[tuple]:
+    def write(self, uri: str) -> list[tuple]:
         self.close_frame()
         fs, path = filesystem(uri)
-        with fs.open_output_stream(f"{path}.{attempt}") as to:
+        with fs.open_output_stream(path) as to:
             for part in [*self.out, seek_table(self.frames)]:
                 to.write(part)
-        fs.move(f"{path}.{attempt}", path)
         return [(uri, *x) for x in self.index]
 
 
-def plan_records(pages: DataFrame, min_revisit: int = 1000) -> DataFrame:
+def plan_records(pages: DataFrame, scratch: Scratch, min_revisit: int = 1000, most: int = 500_000, salts: int = 64) -> DataFrame:
     """page_id, url, html, digest, size, record_type, refers_to."""
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     own = pages.select("page_id", "url", "html", F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("size"))
     many = own.where(F.col("size") >= min_revisit).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    known = own.join(many, "digest", "left")
+    many = scratch.cut(many)
+    if many.count() <= most:
+        known = own.join(F.broadcast(many), "digest", "left")
+    else:
+        salted = many.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        known = own.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int")).join(salted, ["digest", "salt"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return known.select("page_id", "url", "html", "digest", "size", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"))
 
 
-def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, bundle_bytes: int = 64 << 20, level: int = 3, min_revisit: int = 1000) -> DataFrame:
+def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, bundle_bytes: int = 64 << 20, level: int = 3, min_revisit: int = 1000, most: int = 500_000) -> DataFrame:
     """Write the archives; returns the written index (record id -> bundle, frame, offset in the frame, length)."""
     fs, at = filesystem(folder)
     fs.create_dir(at, recursive=True)
@@ -146,12 +154,12 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, bun
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        part, attempt = context.partitionId(), f"tmp{context.taskAttemptId()}"
+        part, attempt = context.partitionId(), uuid.uuid4().hex[:16]
         count, serial, bundle = 0, 0, Bundle(frame_bytes, level)
 
         def flush():
             nonlocal count, bundle
-            rows = bundle.write(f"{folder}/part-{part:06d}-{count:05d}.warc.zst", attempt)
+            rows = bundle.write(f"{folder}/part-{part:06d}-{count:05d}-{attempt}.warc.zst")
             count, bundle = count + 1, Bundle(frame_bytes, level)
             return dict(zip(("bundle", "record_id", "frame", "offset", "length"), map(list, zip(*rows, strict=True)), strict=True))
 
@@ -166,8 +174,11 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, bun
         if bundle.index:
             yield flush()
 
-    planned = plan_records(pages, min_revisit)
-    return cut(map_arrow(planned, ["page_id", "url", "html", "digest", "size", "record_type", "refers_to"], per_task, INDEX))
+    scratch = Scratch()
+    planned = plan_records(pages, scratch, min_revisit, most)
+    index = cut(map_arrow(planned, ["page_id", "url", "html", "digest", "size", "record_type", "refers_to"], per_task, INDEX))
+    scratch.drop_all()
+    return index
 
 
 def read_bundles(index: DataFrame, with_payload: bool = False) -> DataFrame:

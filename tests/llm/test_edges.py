@@ -297,6 +297,18 @@ def test_warc_edges(spark):
     assert warc.archive(pages.limit(0), spark).count() == 0
 
 
+def test_repeated_writes_and_salted_digests_give_the_same_records(spark):
+    rows = [(i, "u", "x" * 2000 if i % 3 == 0 else f"<p>{i}</p>" * 300) for i in range(90)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    folder = warc.fresh_path(spark, "warc-test")
+    got = []
+    for most in (500_000, 500_000, 0):
+        index = warc.write_bundles(pages, folder, frame_bytes=3000, most=most)
+        got.append(sorted((r["page_id"], r["record_type"], r["refers_to"], r["payload_digest"]) for r in warc.read_bundles(index).collect()))
+    assert got[0] == got[1] == got[2]
+    assert [r[:3] for r in got[0] if r[0] % 3 == 0] == [(i, "revisit", 87) for i in range(0, 87, 3)] + [(87, "response", None)]
+
+
 def test_bundles_are_plain_zstandard(spark):
     import zstandard
 
