@@ -124,7 +124,7 @@ class Bundle:
     def write(self, uri: str) -> list[tuple]:
         self.close_frame()
         fs, path = filesystem(uri)
-        with fs.open_output_stream(path) as to:
+        with fs.open_output_stream(path, compression=None) as to:
             for part in [*self.out, seek_table(self.frames)]:
                 to.write(part)
         return [(uri, *x) for x in self.index]
