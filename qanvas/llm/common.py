@@ -40,17 +40,23 @@ def shared_dir(spark: SparkSession) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: One plan at all sizes: only what is marked for it, after a check of its size, is broadcast.
+_PLAN = {_CLEANUP: "true", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
 def cut(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Write df to the shared folder as Parquet and go on from the files: survives lost executors, ends the lineage, and
     lets the planner see true sizes. The table stays until `scratch`, if one is given, is told to drop it."""
     spark = df.sparkSession
     path = fresh_path(spark, "table")
-    was = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    was = {k: spark.conf.get(k, None) for k in _PLAN}
+    for k, v in _PLAN.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, was)
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     if scratch is not None:
         scratch.paths[id(out)] = (out, path)

@@ -75,9 +75,12 @@ def sketch(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = ROWS)
     return map_arrow(docs, ["doc_id", "text"], per_task, "doc_id bigint, key binary, bands array<bigint>")
 
 
-def _multisets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """(nid, multiset, weight) of the nodes in needed (nid, key, doc_id)."""
+def _multisets(docs: DataFrame, needed: DataFrame, size: int, most: int = 2_000_000) -> DataFrame:
+    """(nid, multiset, weight) of the nodes in needed (nid, key, doc_id). Texts are only moved if their ids are more than
+    can be broadcast."""
     ids = needed.select(F.col("doc_id").alias("__id")).distinct()
+    if needed.count() <= most:
+        ids = F.broadcast(ids)
     few = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
 
     def per_task(batches):

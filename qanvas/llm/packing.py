@@ -56,7 +56,7 @@ class Encoder:
     hold a special token are left as they are.
     """
 
-    def __init__(self, path: str, max_bytes: int = 72 << 20) -> None:
+    def __init__(self, path: str, max_bytes: int = 144 << 20) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -176,14 +176,16 @@ def differencing(lengths: list[int], m: int) -> list[list[int]]:
     return heap[0][3]
 
 
-def windows(lengths: list[int], capacity: int) -> list[list[int]]:
-    """The fewest windows that differencing fits under the capacity, from the least possible count upwards."""
+def windows(lengths: list[int], capacity: int, most: int | None = None) -> list[list[int]]:
+    """The fewest windows that differencing fits under the capacity, from the least possible count upwards; none if they
+    are over `most`."""
     m = max(1, -(-sum(lengths) // capacity))
-    while True:
+    while most is None or m <= most:
         parts = differencing(lengths, m)
         if all(sum(lengths[i] for i in part) <= capacity for part in parts):
             return parts
         m += 1
+    return []
 
 
 def held_back(pieces: list[Piece], room: int) -> tuple[list[Piece], list[Piece]]:
@@ -239,8 +241,8 @@ def pack_group(pieces: list[Piece], capacity: int, slacks: tuple[int, ...] = (24
     rest, count = [p for p in pieces if id(p) not in aside], max(1, total // capacity)
     for slack in slacks:
         taken, held = held_back(rest, count * (capacity - slack))
-        found = windows([p.length for p in taken], capacity)
-        if len(found) <= count:
+        found = windows([p.length for p in taken], capacity, most=count if slack < slacks[-1] else None)
+        if found:
             break
     parts = [[taken[i] for i in part] for part in found]
     return parts, close_gaps(parts, fill + held, capacity)
@@ -263,7 +265,7 @@ def powers_of_two(pieces: list[Piece], capacity: int) -> list[list[Piece]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 4096, end_id: int = 2, group: int = 512) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 4096, end_id: int = 2, group: int = 256) -> DataFrame:
     """A row per piece; see SCHEMA. `group` bounds the pieces packed together (time and memory of one differencing)."""
     path = tokenizer_path or default_tokenizer()
 
