@@ -13,8 +13,8 @@ def col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """White space of all kinds off both ends (trim takes spaces only)."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    r"""White space off both ends, of all kinds that \s has."""
+    return F.btrim(col(c), F.lit(" \t\n\x0b\f\r"))
 
 
 def words(c: Column | str) -> Column:
@@ -45,9 +45,16 @@ def lines(c: Column | str) -> Column:
     return F.filter(F.transform(F.split(col(c), "\n"), strip), lambda x: x != "")
 
 
-def contains_any(lowered: Column, keywords: list[str]) -> Column:
-    """Whether any of the literal keywords is in the text: one pass of one alternation."""
-    return lowered.rlike("|".join(f"\\Q{k}\\E" for k in keywords))
+def contains_any(text: Column, keywords: list[str]) -> Column:
+    """Whether any of the literal keywords is in the text, lowered once: a plain search for each, no regex."""
+
+    def found(low: Column) -> Column:
+        out = F.contains(low, F.lit(keywords[0]))
+        for k in keywords[1:]:
+            out = out | F.contains(low, F.lit(k))
+        return out
+
+    return F.exists(F.array(F.lower(text)), found)
 
 
 def clean_references(c: Column | str) -> Column:

@@ -30,8 +30,12 @@ def norm(a: Column | str) -> Column:
 
 def cosine(a: Column | str, b: Column | str) -> Column:
     """Cosine similarity; 1 where either vector is zero."""
-    lengths = norm(a) * norm(b)
-    return F.when(lengths == 0, 1.0).otherwise(dot(a, b) / F.nullif(lengths, F.lit(0.0)))
+    return cosine_by_norms(a, b, norm(a), norm(b))
+
+
+def cosine_by_norms(a: Column | str, b: Column | str, norm_a: Column, norm_b: Column) -> Column:
+    """Cosine similarity of vectors whose norms are known."""
+    return F.get(F.transform(F.array(norm_a * norm_b), lambda n: F.when(n == 0, 1.0).otherwise(dot(a, b) / F.nullif(n, F.lit(0.0)))), F.lit(0))
 
 
 def cosine_distance(a: Column | str, b: Column | str) -> Column:

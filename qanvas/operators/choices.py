@@ -111,6 +111,21 @@ def pool(candidates: DataFrame, n: int, alpha: float = 0.4) -> DataFrame:
     return ranked.where(F.col("rank") <= n)
 
 
+def with_existing(pool: DataFrame, existing: DataFrame) -> DataFrame:
+    """The words (qid, position, word) of a pool and of the options that are there already, each once by its lowered text;
+    the pool's come first. existing: 1 for what only the options have."""
+    both = pool.withColumn("existing", F.lit(0)).unionByName(existing.withColumn("existing", F.lit(1)))
+    first = both.groupBy("qid", F.lower(X.strip("word")).alias("k")).agg(F.min(F.struct("existing", "position", "word")).alias("w"))
+    return first.select("qid", "w.word", "w.existing", "w.position")
+
+
+def top_tokens(rows: DataFrame, k: int) -> DataFrame:
+    """qid, token, rank: the k best scores of rows (qid, logits), ties by token."""
+    scored = F.transform("logits", lambda x, i: F.struct((-x).alias("minus"), i.alias("token")))
+    best = F.slice(F.array_sort(scored), 1, k)
+    return rows.select("qid", F.posexplode(best).alias("place", "t")).select("qid", "t.token", (F.col("place") + 1).alias("rank"))
+
+
 def fallback_words(lexicon: DataFrame, answers: DataFrame, n: int, seed: str = "fallback", bits: int = 12) -> DataFrame:
     """qid, word: 2n lexicon words a question in a random order fixed by the seed, for pools that are too small. The
     order is one for all words; each question starts at a place of its own in it and goes on from the end at the front.
@@ -130,9 +145,11 @@ def fallback_words(lexicon: DataFrame, answers: DataFrame, n: int, seed: str = "
 def pair_distances(candidates: DataFrame) -> DataFrame:
     """qid, i, j, distance for i < j: cosine distances of a question's candidates (qid, i, embedding); a question has
     a bounded pool."""
-    a = candidates.select("qid", "i", F.col("embedding").alias("x"))
-    b = candidates.select("qid", F.col("i").alias("j"), F.col("embedding").alias("y"))
-    return a.join(b, "qid").where("i < j").select("qid", "i", "j", V.cosine_distance("x", "y").alias("distance"))
+    normed = candidates.select("qid", "i", "embedding", V.norm("embedding").alias("norm"))
+    a = normed.select("qid", "i", F.col("embedding").alias("x"), F.col("norm").alias("norm_x"))
+    b = normed.select("qid", F.col("i").alias("j"), F.col("embedding").alias("y"), F.col("norm").alias("norm_y"))
+    cosine = V.cosine_by_norms("x", "y", F.col("norm_x"), F.col("norm_y"))
+    return a.join(b, "qid").where("i < j").select("qid", "i", "j", (1 - cosine).alias("distance"))
 
 
 def diversity(candidates: DataFrame) -> DataFrame:

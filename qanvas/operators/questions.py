@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
@@ -18,7 +16,7 @@ def length_gate(c: Column | str, least_words: int = 15, least_sentences: int = 2
 
 def keyword_gate(c: Column | str) -> Column:
     """Front and back matter goes. Keywords are compared with lowered text as they are."""
-    return ~X.contains_any(F.lower(X.col(c)), L.IRRELEVANT)
+    return ~X.contains_any(X.col(c), L.IRRELEVANT)
 
 
 def figure_gate(c: Column | str) -> Column:
@@ -59,7 +57,7 @@ def type_scores(c: Column | str, n_sentences: Column, labels: Column, entropy: C
     (the older weights are 1, 3, 1, 2). Two distinct labels or more are what makes more than one label pair."""
     x, low = X.col(c), F.lower(X.col(c))
     distinct = F.size(F.array_distinct(labels))
-    has = lambda words: X.contains_any(low, words)
+    has = lambda words: X.contains_any(x, words)
     k, o, m, w = choice_points
     short = _points((has(L.SHORT_WORDS), 1), ((entropy >= 0.3) & (entropy <= 0.5), 1), ((distinct >= 1) & (n_sentences > 1), 1), (x.endswith("?"), 2))
     hop = _points((has(L.REASON_WORDS), 1), ((distinct > 3) & (n_sentences > 3), 2), (distinct > 1, 2), (entropy > 0.5, 1))
@@ -145,13 +143,46 @@ def discounts(counts: dict[str, Column], threshold: int = 10) -> dict[str, Colum
     return {k: 1 + (most - n) / F.greatest(F.lit(threshold), most) for k, n in counts.items()}
 
 
-def batches_of(rows: Iterator, size: int) -> Iterator[list]:
-    """Count-based lots, with the last, short one."""
-    lot = []
-    for r in rows:
-        lot.append(r)
-        if len(lot) == size:
-            yield lot
-            lot = []
-    if lot:
-        yield lot
+def batches_of(rows: DataFrame, scope: str, order: str, size: int, start: int = 0, every: int = 20) -> DataFrame:
+    """rows with batch and checkpoint: within each scope the rows after the first `start`, in lots of `size` (the last one
+    may be short), and whether progress is saved at a row, every so many rows of all."""
+    numbered = rows.withColumn("__rn", F.row_number().over(Window.partitionBy(scope).orderBy(order))).where(F.col("__rn") > start)
+    return numbered.withColumns({"batch": F.floor((F.col("__rn") - 1) / size).cast("long"), "checkpoint": F.col("__rn") % every == 0}).drop("__rn")
+
+
+def rendered(rows: DataFrame, templates: DataFrame) -> DataFrame:
+    """rows (type, text) with the prompt of their type's template (name, template; a handful)."""
+    named = templates.select(F.col("name").alias("type"), "template")
+    return rows.join(F.broadcast(named), "type").withColumn("prompt", F.replace("template", F.lit(L.PLACEHOLDER), F.col("text"))).drop("template")
+
+
+def truncated(c: Column | str, most: int) -> Column:
+    """A prompt of more than `most` words cut to them; any other stays as it is."""
+    w = X.words(c)
+    return F.when(F.size(w) > most, F.array_join(F.slice(w, 1, most), " ")).otherwise(X.col(c))
+
+
+#: The fields of a saved question that are cleaned of references, where it has them.
+CLEANED = ("question", "answer", "incorrect_answer", "explanation")
+
+
+def cleaned(rows: DataFrame) -> DataFrame:
+    """rows with those of the four fields that they have cleaned; null stays null."""
+    return rows.withColumns({c: F.when(F.col(c).isNotNull(), X.clean_references(c)) for c in CLEANED if c in rows.columns})
+
+
+def source_of(isbn: str, section: str, page: str, paragraph_id: str) -> Column:
+    """Where a question comes from, with defaults for what is unknown."""
+    known = {"isbn": (isbn, "Unknown ISBN"), "section": (section, "Unknown Section"), "page": (page, "Unknown Page"), "paragraph_id": (paragraph_id, "Unknown Paragraph")}
+    return F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit(default)).alias(name) for name, (c, default) in known.items()])
+
+
+def sentence_variances(sentences: DataFrame, key: str) -> DataFrame:
+    """key, coherence, entropy of sentences (key, v: the values of all their tokens). coherence: the sample variance over
+    the tensor of all sentences padded with zeros to the longest, from sums alone, so no padding is made; entropy: the
+    population variance over the sentences' means. One grouped aggregate; null where there are too few values."""
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    each = sentences.select(key, F.size("v").alias("n"), total(F.col("v")).alias("s"), total(F.transform("v", lambda x: x * x)).alias("q"))
+    by = each.groupBy(key).agg((F.count("*") * F.max("n")).alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.var_pop(F.col("s") / F.col("n")).alias("entropy"))
+    coherence = F.when(F.col("n") > 1, (F.col("q") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1))
+    return by.select(key, coherence.alias("coherence"), "entropy")

@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
 from ..streaming.incremental import append_batches, balanced_stream
 from .base import ORACLES, query, table
 from .vector_queries import arrivals_of
 
 
-def _folder(spark: SparkSession, what: str) -> str:
-    """A new folder in the shared one (spark.checkpoint.dir), or in a local one where that is unset."""
-    at = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    return f"{at.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
 def stream(spark: SparkSession, sf_dir: str, name: str):
     schema = table(spark, sf_dir, name).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf_dir}/{name}.parque[t]"), schema
@@ -27,7 +20,7 @@ def stream(spark: SparkSession, sf_dir: str, name: str):
 def stream_balance(spark, sf_dir):
     """The balanced assignment with its counts as state."""
     events, _ = stream(spark, sf_dir, "events")
-    folder = _folder(spark, "stream-balance")
+    folder = shared_folder(spark, "stream-balance")
     rows = balanced_stream(arrivals_of(events), "scope", "event_id")
     run = rows.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
     run.awaitTermination()
@@ -37,7 +30,7 @@ def stream_balance(spark, sf_dir):
 @query("SELECT DISTINCT text, lang FROM documents")
 def stream_dedup(spark, sf_dir):
     """The idempotent append over micro-batches: the stream goes in twice, its rows once."""
-    folder = _folder(spark, "stream-dedup")
+    folder = shared_folder(spark, "stream-dedup")
     for turn in (1, 2):
         docs, _ = stream(spark, sf_dir, "documents")
         rows = docs.select("text", "lang")
@@ -49,10 +42,11 @@ def stream_dedup(spark, sf_dir):
 
 @query("""SELECT time_bucket(INTERVAL '1 hour', ts) AS hour, event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY ALL""")
 def stream_counts(spark, sf_dir):
-    """Progress counts by hour of arrival, with a watermark; late rows within it still count."""
+    """Progress counts by hour of arrival, all hours in each result (complete mode), so the state is as large as the result: one row
+    an hour and type. Use append mode with a watermark where that is unbounded."""
     events, _ = stream(spark, sf_dir, "events")
-    folder = _folder(spark, "stream-counts")
-    timed = events.withColumn("t", F.col("ts").cast("timestamp")).withWatermark("t", "30 days")
+    folder = shared_folder(spark, "stream-counts")
+    timed = events.withColumn("t", F.col("ts").cast("timestamp"))
     counts = timed.groupBy(F.window("t", "1 hour"), "event_type").agg(F.count("*").alias("n"))
     latest = counts.select(F.col("window.start").cast("timestamp_ntz").alias("hour"), "event_type", "n")
     run = latest.writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{folder}/out")).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()

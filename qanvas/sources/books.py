@@ -14,14 +14,34 @@ BOOK = T.StructType([T.StructField("ISBN", T.StringType()), T.StructField("Title
 MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in ("file_name", "type", "isbn")])
 
 
-def catalog(spark: SparkSession, path: str) -> DataFrame:
-    """title, isbn10, isbn13, file_link, all strings; missing values get the catalog's defaults."""
-    raw = spark.read.schema(CATALOG).option("header", True).csv(path)
-    unknown = {"Title": "Unknown Title", "ISBN-10": "Unknown ISBN-10", "ISBN-13": "Unknown ISBN-13", "File Link": ""}
-    names = {"Title": "title", "ISBN-10": "isbn10", "ISBN-13": "isbn13", "File Link": "file_link"}
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, by the file system that Spark reads it with."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def catalog(spark: SparkSession, path: str, processed: bool = False) -> DataFrame:
+    """title, isbn10, isbn13, file_link (and json_file of a processed one), all strings; missing values get the catalog's
+    defaults, a missing file is an empty catalog."""
+    schema = T.StructType([*CATALOG.fields, T.StructField("JSON File", T.StringType())]) if processed else CATALOG
+    raw = spark.read.schema(schema).option("header", True).csv(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    unknown = {"Title": "Unknown Title", "ISBN-10": "Unknown ISBN-10", "ISBN-13": "Unknown ISBN-13", "File Link": ""} | ({"JSON File": ""} if processed else {})
+    names = {"Title": "title", "ISBN-10": "isbn10", "ISBN-13": "isbn13", "File Link": "file_link", "JSON File": "json_file"}
     return raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit(d)).alias(names[c]) for c, d in unknown.items()])
 
 
+def books_of(catalog: DataFrame, books: DataFrame) -> DataFrame:
+    """The books of a catalog (isbn13); rows without a book, and books without a row, go."""
+    return books.join(catalog.select(F.col("isbn13").alias("isbn")).distinct(), "isbn", "left_semi")
+
+
 def valid_rows(catalog: DataFrame, files: DataFrame) -> DataFrame:
     """Rows that name a file that is there (files: path)."""
     return catalog.where(F.col("file_link") != "").join(files.select(F.col("path").alias("file_link")), "file_link", "left_semi")
@@ -49,7 +69,7 @@ def pages_of_files(files: DataFrame, extract: Callable[[bytes], list[str]]) -> D
 def books(spark: SparkSession, path: str) -> DataFrame:
     """isbn, title, paragraphs of book files; files that are not JSON give no row."""
     raw = spark.read.schema(T.StructType([*BOOK.fields, T.StructField("_corrupt", T.StringType())])).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").option("ignoreMissingFiles", True).json(path)
-    own = F.regexp_extract(F.input_file_name(), r"([^/]+)_processed\.json$", 1)
+    own = F.regexp_extract(F.input_file_name(), r"(?:file=)?([^/=]+)_processed(?:\.json|/[^/]*)$", 1)
     return raw.where(F.col("_corrupt").isNull()).select(F.coalesce(F.col("ISBN"), F.nullif(own, F.lit(""))).alias("isbn"), F.col("Title").alias("title"), F.col("Paragraphs").alias("paragraphs"))
 
 
@@ -65,13 +85,17 @@ def word_list(spark: SparkSession, *paths: str) -> DataFrame:
 
 def templates(spark: SparkSession, path: str) -> DataFrame:
     """name, template of the prompt files in a folder."""
-    return spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.prompt$", 1).alias("name"), F.col("value").alias("template"))
+    return spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.prompt$", 1).alias("name"), F.col("value").alias("template"))
 
 
-def saved_questions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of saved JSON arrays; corrupt or missing files count as empty."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").option("ignoreMissingFiles", True).json(path)
+def saved_questions(spark: SparkSession, path: str, schema: T.StructType, arrays: bool = False) -> DataFrame:
+    """Rows of saved JSON, a record a line as the sinks write it, or an array a file; corrupt or missing files count as
+    empty."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", arrays).option("mode", "DROPMALFORMED").option("ignoreMissingFiles", True).json(path)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST).option("header", True).csv(path)
+    """The manifest, ISBNs as text; a missing one is empty."""
+    return spark.read.schema(MANIFEST).option("header", True).csv(path) if exists(spark, path) else spark.createDataFrame([], MANIFEST)

@@ -56,11 +56,41 @@ def nested_books(paragraphs: DataFrame) -> DataFrame:
     return books.select("isbn", "title", F.transform("p", lambda x: x.dropFields("position")).alias("paragraphs"))
 
 
+def write_books(books: DataFrame, folder: str) -> None:
+    """books (isbn, title, paragraphs) as JSON, a folder `file=<isbn>_processed` a book."""
+    named = books.select(F.concat("isbn", F.lit("_processed")).alias("file"), F.col("isbn").alias("ISBN"), F.col("title").alias("Title"), F.col("paragraphs").alias("Paragraphs"))
+    named.write.mode("overwrite").partitionBy("file").json(folder)
+
+
+def write_catalog(rows: DataFrame, path: str) -> None:
+    """A catalog or manifest as CSV with a header, in as many files as there are tasks."""
+    rows.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_catalogs_by(rows: DataFrame, column: str, folder: str) -> None:
+    """A catalog for each value of a column."""
+    rows.write.mode("overwrite").option("header", True).partitionBy(column).csv(folder)
+
+
+def write_stages(outputs: dict[str, DataFrame], folder: str) -> None:
+    """The outputs of several stages, which share one plan, each in its own folder, by one write."""
+    rows = None
+    for stage, df in outputs.items():
+        part = df.withColumn("stage", F.lit(stage))
+        rows = part if rows is None else rows.unionByName(part)
+    rows.write.mode("overwrite").partitionBy("stage").json(folder)
+
+
 def write_questions(questions: DataFrame, path: str) -> None:
     """One folder a type and book; null fields are left out of the JSON."""
     questions.write.mode("append").partitionBy("type", "isbn").json(path)
 
 
+def overwrite_questions(questions: DataFrame, path: str) -> None:
+    """All that there is, in place of what there was; null fields are left out of the JSON."""
+    questions.write.mode("overwrite").json(path)
+
+
 def count_report(outputs: dict[str, DataFrame]) -> DataFrame:
     """output, records of the outputs that are there."""
     parts = [df.agg(F.count("*").alias("records")).select(F.lit(name).alias("output"), "records") for name, df in outputs.items()]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -21,8 +22,10 @@ def append_batches(path: str, schema) -> Callable[[DataFrame, int], None]:
         spark: SparkSession = batch.sparkSession
         try:
             existing = spark.read.schema(schema).parquet(path)
-        except Exception:  # noqa: BLE001  nothing has been written yet
-            existing = spark.createDataFrame([], schema)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            existing = spark.createDataFrame([], schema)  # nothing has been written yet
         new_rows(batch.select(*schema.names), existing).write.mode("append").parquet(path)
 
     return write

@@ -158,3 +158,29 @@ def test_catalog_defaults_and_pages(spark, tmp_path):
     assert B.valid_rows(rows, files).count() == 1
     assert [r["text"] for r in B.pages_of_files(files, lambda b: b.decode().split("\f")).orderBy("page").collect()] == ["one", "b"]
     assert B.pages_of_files(files, lambda b: 1 / 0).first()["error"]
+
+
+def test_saved_arrays_and_corrupt_files(spark):
+    from pyspark.sql import types as T
+
+    from qanvas.session import shared_folder
+    from qanvas.sources import books
+
+    folder = shared_folder(spark, "arrays")
+    books.write_text(spark, f"{folder}/a.json", '[{"question": "q1"}, {"question": "q2", "more": 1}]')
+    books.write_text(spark, f"{folder}/b.json", "{broken")
+    schema = T.StructType([T.StructField("question", T.StringType())])
+    assert sorted(r["question"] for r in books.saved_questions(spark, folder, schema, arrays=True).collect()) == ["q1", "q2"]
+    assert books.saved_questions(spark, f"{folder}-none", schema).count() == 0
+
+
+def test_sentence_variances_by_brute_force(spark):
+    import numpy as np
+
+    from qanvas.operators.questions import sentence_variances
+
+    rows = [("a", [1.0, 2.0]), ("a", [3.0]), ("a", [4.0, 5.0, 9.0]), ("b", [7.0])]
+    got = {r["k"]: r for r in sentence_variances(spark.createDataFrame(rows, "k string, v array<double>"), "k").collect()}
+    padded = np.array([[1, 2, 0], [3, 0, 0], [4, 5, 9]], dtype=float)
+    assert np.isclose(got["a"]["coherence"], padded.var(ddof=1)) and np.isclose(got["a"]["entropy"], np.var([1.5, 3, 6]))
+    assert got["b"]["coherence"] is None and got["b"]["entropy"] == 0
