@@ -265,7 +265,7 @@ def powers_of_two(pieces: list[Piece], capacity: int) -> list[list[Piece]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 4096, end_id: int = 2, group: int = 256) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 4096, end_id: int = 2, group: int = 128) -> DataFrame:
     """A row per piece; see SCHEMA. `group` bounds the pieces packed together (time and memory of one differencing)."""
     path = tokenizer_path or default_tokenizer()
 

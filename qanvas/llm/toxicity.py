@@ -61,22 +61,23 @@ class Index:
         self.k, self.block, self.prior_weight = k, block, prior_weight
         n = len(y)
         self.prior = (sum(y) + 0.5) / (n + 1)
-        counted = [Counter(words(t)) for t in texts]
         # Copies would make any of their words look telling: statistics are over distinct texts.
         distinct = dict(zip(texts, range(n), strict=True))
         df: Counter = Counter()
         toxic: Counter = Counter()
         for i in distinct.values():
-            df.update(counted[i].keys())
+            own = set(words(texts[i]))
+            df.update(own)
             if y[i]:
-                toxic.update(counted[i].keys())
+                toxic.update(own)
         terms = sorted(t for t, f in df.items() if f >= min_df)
         self.number = {t: i for i, t in enumerate(terms)}
         f, a = np.array([df[t] for t in terms], dtype=np.float64), np.array([toxic[t] for t in terms], dtype=np.float64)
         positive = sum(y[i] for i in distinct.values())
         self.idf = (1 + np.log((1 + len(distinct)) / (1 + f))) * np.sqrt(1 + likelihood_ratio(a, f, positive, len(distinct)))
 
-        vectors = [self.weigh(c) for c in counted]
+        del df, toxic
+        vectors = [self.weigh(Counter(words(t))) for t in texts]
         order = self._order(vectors, f)
         self.ids, self.y, self.place = np.array(ids, dtype=np.int64)[order], np.array(y, dtype=np.float64)[order], order
         vectors = [vectors[i] for i in order]
