@@ -12,7 +12,8 @@ section (an element that is no bare text element) that lies more than `slack` un
 too; one outside the article that keeps up with it is content. `slack` is more than the looks can weigh, so it is
 repetition of text that decides. Two checks: the article or main elements of a page are content whatever the tree says of
 them as a whole, and presentation that names its own role (nav, footer, aside, form, script, style, ..., or such a word
-in class, id or role) is not: on many sites menus and notices differ from page to page. On hosts with few pages the tree
+in class, id or role; inside an article, only where the name has no other words) is not, nor is an article element that
+is named a comment: on many sites menus and notices differ from page to page. On hosts with few pages the tree
 shows nothing and the checks decide alone.
 
 Plan: a pass parses the pages and emits (host, main text, path, block or look) as 64-bit hashes, aggregated in two steps
@@ -57,6 +58,13 @@ ROLES = re.compile(
     r"masthead|site-header|topbar|toolbar|popup|modal|overlay|disclaimer|copyright|skip|search|contentinfo|complementary)(?:$|[-_\s])",
     re.IGNORECASE,
 )
+#: Parts of a name that say nothing of the content, beside digits.
+NEUTRAL = frozenset(
+    "area bar block body bottom box btn button buttons card child col container content depth even first form group head header inner item items "
+    "js last left level link links list module odd outer panel parent post posts right row section slot text thread title top unit wrap wrapper".split()
+)
+#: What names a reader comment, as a whole class, id or role.
+COMMENT = re.compile(r"(?:comments?|reply|replies)(?:[-_]?\d+)?", re.IGNORECASE)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.DOTALL
 )
@@ -69,10 +77,11 @@ def hash64(*parts) -> int:
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "parent", "children", "plain")
+    __slots__ = ("tag", "path", "noise", "parent", "children", "plain", "inside")
 
     def __init__(self, tag: str, key: str, noise: bool, plain: bool, parent: Node | None) -> None:
         self.tag, self.noise, self.plain, self.parent, self.children = tag, noise, plain, parent, []
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
         self.path = hash64(parent.path if parent else 0, key)
 
 
@@ -80,7 +89,7 @@ def parse(page: str) -> Node:
     """The tree of a page; children are nodes and strings."""
     root = Node("", "", False, True, None)
     at, stack, pos = root, [root], 0
-    keys: dict[tuple[str, str], tuple[str, bool]] = {}
+    keys: dict[tuple[str, str], tuple[str, bool, bool]] = {}
     while m := _TOKEN.match(page, pos):
         pos = m.end()
         tag = m[2] or m[5]
@@ -110,8 +119,8 @@ def parse(page: str) -> Node:
             at = stack[-1]
         if (tag, attributes) not in keys:
             keys[tag, attributes] = _key(tag, attributes)
-        key, named = keys[tag, attributes]
-        node = Node(tag, key, tag in NOISE or named, tag in TEXTUAL and key == tag, at)
+        key, named, only = keys[tag, attributes]
+        node = Node(tag, key, tag in NOISE or (only if at.inside else named), tag in TEXTUAL and key == tag, at)
         at.children.append(node)
         if tag in VOID:
             continue
@@ -127,13 +136,25 @@ def parse(page: str) -> Node:
     return root
 
 
-def _key(tag: str, attributes: str) -> tuple[str, bool]:
-    """A style's name in paths, and whether it names a role beside the article."""
+def _key(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """A style's name in paths, whether it names a role beside the article, and whether it names nothing else, as it must
+    inside an article: there a name of other words too (`notice-board-history`, `left side`) is about the content."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     names = [found[k] for k in ("class", "id", "role") if found.get(k)]
-    named = tag not in ("html", "body", "article", "main") and any(ROLES.search(n) for n in names)
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
-    return ".".join([tag, *sorted(" ".join(names).split())]), named or hidden
+    if tag in ("html", "body", "article", "main"):
+        named = only = tag == "article" and any(COMMENT.fullmatch(x) for n in names for x in n.split())
+    else:
+        named, only = any(ROLES.search(n) for n in names), any(_only_role(n, tag) for n in names)
+    return ".".join([tag, *sorted(" ".join(names).split())]), named or hidden, only or hidden
+
+
+def _only_role(name: str, tag: str) -> bool:
+    """Whether a class, id or role is made of role words, neutral parts and digits, with a role word among them. On text
+    elements (p, li, h1, ...) the words of place (side, search) are no roles."""
+    parts = [p for p in re.split(r"[-_\s]+", name.lower()) if p]
+    roles = [bool(ROLES.fullmatch(p)) and not (tag in TEXTUAL and p in ("side", "search")) for p in parts]
+    return any(roles) and all(r or p in NEUTRAL or p.isdigit() for p, r in zip(parts, roles, strict=True))
 
 
 def main_nodes(root: Node) -> list[Node]:
@@ -142,7 +163,7 @@ def main_nodes(root: Node) -> list[Node]:
         found, stack = [], [root]
         while stack:
             node = stack.pop()
-            if node.tag == tag:
+            if node.tag == tag and not node.noise:
                 found.append(node)
             elif not node.noise:
                 stack += [c for c in reversed(node.children) if isinstance(c, Node)]

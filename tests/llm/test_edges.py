@@ -329,3 +329,13 @@ def test_pipeline_stages_take_awkward_and_empty_documents(spark, awkward, empty,
             assert out.columns == docs.columns
             out.count()
         corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count()
+
+
+@pytest.mark.parametrize(("body", "wanted"), [
+    ('<article><p class="left side">a</p><p id="search">b</p><div class="notice-board-history">c</div><div class="social history">d</div></article>', "a\nb\nc\nd"),
+    ('<article><p>a</p><div class="ad-slot">x</div><section id="comments"><p>y</p></section><div class="related-posts">z</div><div class="sidebar">s</div></article>', "a"),
+    ('<article class="post has-comments"><p>a</p></article><article class="comment">c</article><section><article id="comment-12">d</article></section>', "a"),
+    ('<article><p>a</p><article class="comment depth-1"><p>c</p></article><p>b</p></article>', "a\nb"),
+])
+def test_roles_inside_articles_and_comments_marked_as_articles(body, wanted):
+    assert site_tree.main_text(f"<html><body><nav>menu</nav>{body}<footer>f</footer></body></html>") == wanted
