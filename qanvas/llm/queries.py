@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_model, near_dedup, packing, quality, secrets, site_tree, topk, toxicity, warc
+from . import decontaminate, language_model, near_dedup, packing, quality, sale_enrichment, secrets, site_tree, spelling, token_counts, topk, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), spark).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op13_sale_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sale_enrichment.enrich(table(spark, sf_dir, "sales"), table(spark, sf_dir, "client_changes"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_language_model": op2_language_model,
@@ -68,4 +80,7 @@ QUERIES: dict[str, Query] = {
     "op8_main_text": op8_main_text,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_warc": op10_warc,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_counts": op12_token_counts,
+    "op13_sale_enrichment": op13_sale_enrichment,
 }
