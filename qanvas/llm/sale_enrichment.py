@@ -26,11 +26,13 @@ by nobody; null or non-finite balances give null cents; extra columns are ignore
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -47,6 +49,10 @@ QUANTILES = 1024
 _CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # A query runs once a start, so what it has loaded is of no use to the next: stores are closed with their tasks, and reserve no disk.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "100000",
 }
 
@@ -226,12 +232,16 @@ def placed(rows: DataFrame, hot: DataFrame, buckets: int) -> DataFrame:
 
 @contextmanager
 def _settings(spark: SparkSession) -> Iterator[None]:
+    """The stream's settings, and this module pickled by value: Spark also loads the processor in a process of the driver
+    that needn't have this package on its path."""
     was = {k: spark.conf.get(k, None) for k in _CONF}
     for k, v in _CONF.items():
         spark.conf.set(k, v)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     try:
         yield
     finally:
+        cloudpickle.unregister_pickle_by_value(sys.modules[__name__])
         for k, v in was.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
