@@ -27,3 +27,16 @@ def empty(spark):
 @pytest.fixture(scope="session")
 def labels(spark):
     return spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 12)] + [(3, None, None), (None, 1, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="session")
+def duck():
+    """The tables of the other tests and the shop's."""
+    import duckdb
+
+    from ..conftest import SF, TABLES
+
+    con = duckdb.connect()
+    for t in [*TABLES, "clicks", "sales", "sale_lines", "clients", "client_changes", "vendors", "items", "stamps"]:
+        con.sql(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return con
