@@ -40,7 +40,7 @@ from .common import cut, map_arrow
 
 #: Fixed sets of HTML element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video select button".split())
+RAW = frozenset("script style noscript template textarea title iframe object svg canvas audio video select button".split())
 NOISE = frozenset("nav footer aside form dialog menu head".split()) | RAW
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -66,9 +66,12 @@ NEUTRAL = frozenset(
 #: What names a reader comment, as a whole class, id or role.
 COMMENT = re.compile(r"(?:comments?|reply|replies)(?:[-_]?\d+)?", re.IGNORECASE)
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.DOTALL
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.DOTALL
 )
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+#: One attribute: its whole name, and its value if there is one. A value is never taken for a name.
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Inside an article, a heading is content whatever its name; of these others the id is an anchor, and names no role.
+HEADINGS, ANCHORED = frozenset("h1 h2 h3 h4 h5 h6".split()), frozenset("p section li dt dd td th tr table blockquote pre figure figcaption b i em strong span a".split())
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
 
 
@@ -139,13 +142,16 @@ def parse(page: str) -> Node:
 def _key(tag: str, attributes: str) -> tuple[str, bool, bool]:
     """A style's name in paths, whether it names a role beside the article, and whether it names nothing else, as it must
     inside an article: there a name of other words too (`notice-board-history`, `left side`) is about the content."""
-    found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes) if attributes.strip() else ():
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     names = [found[k] for k in ("class", "id", "role") if found.get(k)]
     hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
     if tag in ("html", "body", "article", "main"):
         named = only = tag == "article" and any(COMMENT.fullmatch(x) for n in names for x in n.split())
     else:
-        named, only = any(ROLES.search(n) for n in names), any(_only_role(n, tag) for n in names)
+        own = [] if tag in HEADINGS else [found[k] for k in ("class", "id", "role") if found.get(k) and (k != "id" or tag not in ANCHORED or COMMENT.fullmatch(found[k]))]
+        named, only = any(ROLES.search(n) for n in names), any(_only_role(n, tag) for n in own)
     return ".".join([tag, *sorted(" ".join(names).split())]), named or hidden, only or hidden
 
 

@@ -16,7 +16,7 @@ speculative attempts are never named by it and can be deleted at any time.
 
 Defined cases: null html is an empty payload; payloads under `min_revisit` bytes are always responses; of equal
 payloads the largest page_id is the response (null is smaller than any id, and repeated rows of that id are all
-responses); null url is an empty target; an empty table writes no bundle.
+responses, under the one record id that the revisits refer to); null url is an empty target; an empty table writes no bundle.
 """
 
 from __future__ import annotations
@@ -46,6 +46,11 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
 
 
+def shared_id(page_id: int, digest: str) -> str:
+    """The record id of the response of a payload that others repeat: known before anything is written."""
+    return f"{page_id}:{digest}"
+
+
 def record_bytes(record_id: str, kind: str, url: str, page_id: int | None, digest: str, size: int, refers_to: int | None, payload: bytes) -> bytes:
     target = "".join(c for c in url if c not in "\r\n")
     head = [
@@ -55,7 +60,7 @@ def record_bytes(record_id: str, kind: str, url: str, page_id: int | None, diges
     if page_id is not None:
         head.append(f"X-Page-ID: {page_id}")
     if kind == "revisit":
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{shared_id(refers_to, digest)}>"]
     body = b"" if kind == "revisit" else payload
     head.append(f"Content-Length: {len(body)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
@@ -131,7 +136,7 @@ class Bundle:
 
 
 def plan_records(pages: DataFrame, scratch: Scratch, min_revisit: int = 1000, most: int = 500_000, salts: int = 64) -> DataFrame:
-    """page_id, url, html, digest, size, record_type, refers_to."""
+    """page_id, url, html, digest, size, record_type, refers_to, repeated (whether other records refer to this one)."""
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     own = pages.select("page_id", "url", "html", F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("size"))
     many = own.where(F.col("size") >= min_revisit).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
@@ -142,7 +147,7 @@ def plan_records(pages: DataFrame, scratch: Scratch, min_revisit: int = 1000, mo
         salted = many.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         known = own.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int")).join(salted, ["digest", "salt"], "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    return known.select("page_id", "url", "html", "digest", "size", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"))
+    return known.select("page_id", "url", "html", "digest", "size", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("first")).alias("refers_to"), (F.col("first").isNotNull() & ~revisit).alias("repeated"))
 
 
 def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, bundle_bytes: int = 64 << 20, level: int = 3, min_revisit: int = 1000, most: int = 500_000) -> DataFrame:
@@ -164,9 +169,9 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, bun
             return dict(zip(("bundle", "record_id", "frame", "offset", "length"), map(list, zip(*rows, strict=True)), strict=True))
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "size", "record_type", "refers_to")]
-            for payload, page_id, url, digest, size, kind, refers_to in zip(text_bytes(batch.column("html")), *columns, strict=True):
-                record_id = f"{page_id if page_id is not None else 'none'}:{part}:{serial}"
+            columns = [batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "size", "record_type", "refers_to", "repeated")]
+            for payload, page_id, url, digest, size, kind, refers_to, repeated in zip(text_bytes(batch.column("html")), *columns, strict=True):
+                record_id = shared_id(page_id, digest) if repeated else f"{page_id if page_id is not None else 'none'}:{part}:{serial}"
                 serial += 1
                 bundle.add(record_id, record_bytes(record_id, kind, url or "", page_id, digest, size, refers_to, payload))
                 if bundle.size >= bundle_bytes:
@@ -176,7 +181,7 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, bun
 
     scratch = Scratch()
     planned = plan_records(pages, scratch, min_revisit, most)
-    index = cut(map_arrow(planned, ["page_id", "url", "html", "digest", "size", "record_type", "refers_to"], per_task, INDEX))
+    index = cut(map_arrow(planned, ["page_id", "url", "html", "digest", "size", "record_type", "refers_to", "repeated"], per_task, INDEX))
     scratch.drop_all()
     return index
 
@@ -222,7 +227,7 @@ def _columns(found, with_payload: bool) -> dict[str, list]:
         refers = fields.get("WARC-Refers-To")
         for k, v in (
             ("record_id", fields["WARC-Record-ID"][len("<urn:page:") : -1]), ("page_id", int(fields["X-Page-ID"]) if "X-Page-ID" in fields else None), ("url", fields["WARC-Target-URI"]),
-            ("payload_bytes", size), ("payload_digest", digest), ("record_type", fields["WARC-Type"]), ("refers_to", int(refers[len("<urn:page:") : -1]) if refers else None), ("payload", body),
+            ("payload_bytes", size), ("payload_digest", digest), ("record_type", fields["WARC-Type"]), ("refers_to", int(refers[len("<urn:page:") : -1].partition(":")[0]) if refers else None), ("payload", body),
         ):
             out[k].append(v)
     return out if with_payload else {k: v for k, v in out.items() if k != "payload"}

@@ -339,3 +339,49 @@ def test_pipeline_stages_take_awkward_and_empty_documents(spark, awkward, empty,
 ])
 def test_roles_inside_articles_and_comments_marked_as_articles(body, wanted):
     assert site_tree.main_text(f"<html><body><nav>menu</nav>{body}<footer>f</footer></body></html>") == wanted
+
+
+@pytest.mark.parametrize(("body", "wanted"), [
+    ('<p title="the hidden valley">a</p><p data-id="comments">b</p><p data-hidden="x">c</p><p title=\'id="ad"\'>d</p>', "a\nb\nc\nd"),
+    ('<p id="sharing">a</p><h2 id="related">b</h2><h2 class="social">c</h2><h2 id="disclaimer">d</h2><section id="social-content">e</section>', "a\nb\nc\nd\ne"),
+    ("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p>", "a x=1 b"),
+    ("<p>a</p><!--><p>b</p><!---><p>c</p><!-- x --!><p>d</p><!-- <p>no</p> --><p>e</p>", "a\nb\nc\nd\ne"),
+    ('<p>a</p><p hidden>x</p><p class="ad">y</p><p id="comment-7">z</p><div id="related">r</div>', "a"),
+])
+def test_article_text_is_kept(body, wanted):
+    assert site_tree.main_text(f"<html><body><nav>menu</nav><article>{body}</article><footer>f</footer></body></html>") == wanted
+
+
+def test_every_revisit_refers_to_a_record(spark):
+    rows = [(i, "u", "x" * 2000 if i % 3 == 0 else "y" * (900 + i % 2 * 200)) for i in range(60)] + [(57, "v", "x" * 2000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    index = warc.write_bundles(pages, warc.fresh_path(spark, "warc-test"), frame_bytes=3000)
+    ids = {r["record_id"] for r in index.collect()}
+    seen = 0
+    for r in index.collect():
+        fields, _ = warc.read_record(r["bundle"], r["frame"], r["offset"], r["length"])
+        if fields["WARC-Type"] == "revisit":
+            target = fields["WARC-Refers-To"].removeprefix("<urn:page:").removesuffix(">")
+            assert target in ids
+            of = index.where(F.col("record_id") == target).first()
+            other, _ = warc.read_record(of["bundle"], of["frame"], of["offset"], of["length"])
+            assert (other["WARC-Type"], other["WARC-Payload-Digest"], other["WARC-Record-ID"]) == ("response", fields["WARC-Payload-Digest"], fields["WARC-Refers-To"])
+            seen += 1
+    assert seen == 19 + 19
+
+
+def test_repeated_payloads_match_sql(spark):
+    """The query and its SQL on pages of which many repeat, unlike those of the given tables."""
+    import duckdb
+
+    from qanvas.llm.oracles import ORACLES
+    from qanvas.llm.queries import QUERIES
+
+    from ..helpers import same
+
+    folder = warc.fresh_path(spark, "warc-pages").removeprefix("file://")
+    rows = [(i, f"http://h{i % 4}/{i}", ["x" * 1000, "x" * 999, "é" * 700, f"<p>{i}</p>", "", None][i % 6]) for i in range(90)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).write.parquet(f"{folder}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{folder}/pages.parquet/*.parquet')")
+    same(QUERIES["op10_warc"](spark, folder), con.sql(ORACLES["op10_warc"]))
