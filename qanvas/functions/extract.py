@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .lexicons import END_MARK, START_MARK
-from .text import between_marks, col, lines, strip
+from .text import between_marks, col, lines, once, strip
 
 
 def body(c: Column | str, occurrence: int = 1) -> Column:
@@ -89,18 +89,13 @@ def multiple_choice(c: Column | str, anchored: bool = True) -> Column:
         by_place = F.transform(F.slice(lines(b), 1, 4), lambda r: strip(F.substr(r, F.lit(3))))
         return F.get(F.filter(F.array(found, by_line, by_place), lambda o: (F.size(o) == 4) & F.forall(o, lambda v: v.isNotNull())), F.lit(0))
 
-    fields = F.struct(strip(question).alias("question"), _once(block, options).alias("options"), letter.alias("letter"))
-    return _once(fields, lambda f: _record(
+    fields = F.struct(strip(question).alias("question"), once(block, options).alias("options"), letter.alias("letter"))
+    return once(fields, lambda f: _record(
         f["question"].isNotNull() & f["options"].isNotNull() & f["letter"].isNotNull(), question=f["question"],
         **{f"option_{k.lower()}": F.get(f["options"], F.lit(i)) for i, k in enumerate("ABCD")}, correct_answer=f["letter"],
     ))
 
 
-def _once(value: Column, f) -> Column:
-    """f of a value that is computed once, however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def _plain(c: Column) -> Column:
     return F.replace(strip(c), F.lit("**"), F.lit(""))
 

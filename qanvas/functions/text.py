@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is computed once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     r"""White space off both ends, of all kinds that \s has."""
     return F.btrim(col(c), F.lit(" \t\n\x0b\f\r"))
@@ -45,16 +52,17 @@ def lines(c: Column | str) -> Column:
     return F.filter(F.transform(F.split(col(c), "\n"), strip), lambda x: x != "")
 
 
-def contains_any(text: Column, keywords: list[str]) -> Column:
-    """Whether any of the literal keywords is in the text, lowered once: a plain search for each, no regex."""
+def has_any(low: Column, keywords: list[str]) -> Column:
+    """Whether any of the literal keywords is in a text that is lowered already: a plain search for each, no regex."""
+    out = F.contains(low, F.lit(keywords[0]))
+    for k in keywords[1:]:
+        out = out | F.contains(low, F.lit(k))
+    return out
 
-    def found(low: Column) -> Column:
-        out = F.contains(low, F.lit(keywords[0]))
-        for k in keywords[1:]:
-            out = out | F.contains(low, F.lit(k))
-        return out
 
-    return F.exists(F.array(F.lower(text)), found)
+def contains_any(text: Column, keywords: list[str]) -> Column:
+    """Whether any of the literal keywords is in the text, lowered once."""
+    return F.exists(F.array(F.lower(text)), lambda low: has_any(low, keywords))
 
 
 def clean_references(c: Column | str) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,7 +64,3 @@ def geometric_mean(a: Column, b: Column) -> Column:
 
 def sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
-
-
-def add(*columns: Column) -> Column:
-    return reduce(lambda a, b: a + b, columns)

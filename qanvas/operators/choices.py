@@ -22,11 +22,13 @@ def suffix_map(texts: DataFrame) -> DataFrame:
     return t.join(cut.where((F.col("text") != "") & (F.length("longer") > F.length("text"))), "text").groupBy("text").agg(F.max("longer").alias("longer"))
 
 
-def repaired(items: DataFrame) -> DataFrame:
+def repaired(items: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """items (qid, options, answer) with broken options replaced by their longer form (one hop), capitalised, and
-    without repeats by lowered, stripped text (the first stays); the answer is mapped the same way."""
+    without repeats by lowered, stripped text (the first stays); the answer is mapped the same way. Longer forms are
+    looked for among all options and answers, and texts (text), if given."""
     options = items.select("qid", F.posexplode("options").alias("position", "text"))
-    fix = suffix_map(options.select("text").unionByName(items.select(F.col("answer").alias("text"))))
+    known = options.select("text").unionByName(items.select(F.col("answer").alias("text")))
+    fix = suffix_map(known if texts is None else known.unionByName(texts.select("text")))
     mapped = lambda df: df.join(fix, "text", "left").withColumn("text", X.capitalised(F.coalesce("longer", "text"))).drop("longer")
     kept = mapped(options).groupBy("qid", F.lower(X.strip("text")).alias("k")).agg(F.min(F.struct("position", "text")).alias("o"))
     lists = kept.groupBy("qid").agg(F.array_sort(F.collect_list("o")).alias("o")).select("qid", F.transform("o", lambda o: o["text"]).alias("options"))
@@ -34,13 +36,54 @@ def repaired(items: DataFrame) -> DataFrame:
     return answers.join(lists, "qid", "left").select("qid", F.coalesce("options", F.array().cast("array<string>")).alias("options"), "answer")
 
 
+#: Texts of more characters are held together by segments, shorter ones by what is left when characters go.
+SHORT_TEXT = 24
+
+
+def _without(c: Column) -> Column:
+    """All that is left of a text when one character goes, each once."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.overlay(c, F.lit(""), i, F.lit(1))))
+
+
+def _neighbourhood(c: Column, edits: int) -> Column:
+    """The text, and all that is left of it when up to `edits` characters go."""
+    rings = [F.array(c)]
+    for _ in range(edits):
+        rings.append(F.array_distinct(F.flatten(F.transform(F.filter(rings[-1], lambda x: x != ""), _without))))
+    return F.array_distinct(F.concat(*rings))
+
+
+def _segments(n: Column, edits: int) -> Column:
+    """(number, start from 1, length) of the edits + 1 parts into which a text of n characters is cut."""
+    size = F.floor(n / (edits + 1)).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.lit(edits)), lambda i: F.struct(i.alias("part"), (i * size + 1).alias("start"), F.when(i == edits, n - edits * size).otherwise(size).alias("size")))
+
+
+def close_pairs(texts: DataFrame, most_edits: int = 2) -> DataFrame:
+    """text, match, edits: all pairs of different texts (text, distinct and not empty) within most_edits edits, both ways.
+
+    No pair is missed, and none is compared that shares nothing. Short texts: two within k edits leave a common rest when
+    each loses up to k characters, so rests are joined by equality. Longer texts would leave too many rests: of k + 1
+    parts of a text, one stands unchanged within k places in any text within k edits, so parts are joined by equality.
+    What is joined is verified."""
+    n = F.length("text")
+    rests = texts.where(n <= SHORT_TEXT + most_edits).select("text", F.explode(_neighbourhood(F.col("text"), most_edits)).alias("key"))
+    short = rests.join(rests.select(F.col("text").alias("match"), "key"), "key").select("text", "match")
+    long = texts.where(n > SHORT_TEXT)
+    own = long.select(F.col("text").alias("match"), F.length("text").alias("n"), F.explode(_segments(n, most_edits)).alias("s"))
+    own = own.select("match", "n", "s.part", F.substring("match", F.col("s.start"), F.col("s.size")).alias("key"))
+    sizes = long.select("text", F.explode(F.sequence(n - most_edits, n + most_edits)).alias("n"))
+    tried = sizes.select("text", "n", F.explode(_segments(F.col("n"), most_edits)).alias("s")).select("text", "n", "s.part", "s.size", F.explode(F.sequence(F.greatest(F.lit(1), F.col("s.start") - most_edits), F.col("s.start") + most_edits)).alias("start"))
+    keyed = tried.select("text", "n", "part", F.substring("text", F.col("start"), F.col("size")).alias("key")).distinct()
+    both = short.unionByName(keyed.join(own, ["n", "part", "key"]).select("text", "match"))
+    edits = F.levenshtein("text", "match")
+    return both.where("text <> match").distinct().withColumn("edits", edits).where(F.col("edits") <= most_edits)
+
+
 def close_match(texts: DataFrame, most_edits: int = 2) -> DataFrame:
-    """text, match: the nearest other text within most_edits edits, blocked by lowered first letter and length."""
-    t = texts.select("text").where("text <> ''").distinct().withColumn("block", F.lower(F.substring("text", 1, 1)))
-    keyed = t.withColumn("n", F.explode(F.sequence(F.length("text") - most_edits, F.length("text") + most_edits)))
-    other = t.select(F.col("text").alias("match"), "block", F.length("text").alias("n"))
-    near = keyed.join(other, ["block", "n"]).where((F.col("text") != F.col("match")) & (F.levenshtein("text", "match") <= most_edits))
-    return near.groupBy("text").agg(F.min(F.struct(F.levenshtein("text", "match").alias("d"), F.col("match"))).alias("m")).select("text", F.col("m.match").alias("match"))
+    """text, match: the nearest other text within most_edits edits, ties to the smallest."""
+    t = texts.select("text").where("text <> ''").distinct()
+    return close_pairs(t, most_edits).groupBy("text").agg(F.min(F.struct("edits", "match")).alias("m")).select("text", F.col("m.match").alias("match"))
 
 
 def with_passage(questions: DataFrame, paragraphs: DataFrame) -> DataFrame:
@@ -84,8 +127,9 @@ def completion_candidates(completion: Column | str, answer: Column | str, n: int
     return F.when(F.size(kept) > 0, kept).otherwise(F.array(*map(F.lit, L.DEFAULT_OPTIONS)))
 
 
-def mask_candidate_reason(word: Column, answer: Column, passage_words: Column, before: Column, after: Column, in_lexicon: Column, profane: Column, stem: Column, answer_stem: Column, stem_rank: Column, in_text_only: bool = False) -> Column:
-    """Why a masked-model candidate is rejected, by the first rule that does; null if none."""
+def mask_candidate_reason(word: Column, answer: Column, passage_words: Column, before: Column, after: Column, in_lexicon: Column, profane: Column, stem: Column, answer_stem: Column, in_text_only: bool = False) -> Column:
+    """Why a masked-model candidate is rejected, by the first rule that does; null if none. Stems that are used up by
+    earlier candidates are the rule behind these: with_used_stems."""
     upper = lambda c: c.rlike(r"\p{Lu}") & ~c.rlike(r"\p{Ll}")
     first_upper = lambda c: F.substring(c, 1, 1).rlike(r"\p{Lu}")
     in_passage = F.array_contains(passage_words, F.lower(word))
@@ -96,7 +140,15 @@ def mask_candidate_reason(word: Column, answer: Column, passage_words: Column, b
     )
     if in_text_only:
         out = out.when(~in_passage, "not in text")
-    return out.when((stem == answer_stem) | (stem_rank > 1), "stem")
+    return out.when(stem == answer_stem, "stem")
+
+
+def with_used_stems(candidates: DataFrame, order: str) -> DataFrame:
+    """candidates (qid, stem, reason) with the reason `stem` where an earlier candidate of the question, one that no rule
+    rejects, has the same stem. Rejected candidates use up no stem."""
+    w = Window.partitionBy("qid", "stem").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    used = F.count_if(F.col("reason").isNull()).over(w) > 0
+    return candidates.withColumn("reason", F.coalesce("reason", F.when(used, "stem")))
 
 
 def mask_candidate_kept(reason: Column, similarity_to_answer: Column, least: float = 0.8) -> Column:
@@ -153,19 +205,24 @@ def pair_distances(candidates: DataFrame) -> DataFrame:
 
 
 def diversity(candidates: DataFrame) -> DataFrame:
-    """qid, i, diversity: mean cosine distance to all of the question's candidates, itself included."""
-    a = candidates.select("qid", "i", F.col("embedding").alias("x"))
-    b = candidates.select("qid", F.col("embedding").alias("y"))
-    return a.join(b, "qid").groupBy("qid", "i").agg(F.avg(V.cosine_distance("x", "y")).alias("diversity"))
+    """qid, i, diversity: mean cosine distance to all of the question's candidates, itself included.
+
+    The mean cosine is the dot product with the mean of all unit vectors, so there is no pair: one sum a question and
+    dimension, whatever the size of its pool. A cosine with a zero vector is 1."""
+    unit = candidates.select("qid", "i", V.doubles("embedding").alias("x"), V.norm("embedding").alias("norm"))
+    unit = unit.select("qid", "i", F.when(F.col("norm") > 0, F.transform("x", lambda v: v / F.col("norm"))).alias("u"))
+    sums = unit.select("qid", F.posexplode("u").alias("d", "v")).groupBy("qid", "d").agg(F.sum("v").alias("v"))
+    whole = sums.groupBy("qid").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", "v"))), lambda s: s["v"]).alias("sum"))
+    counts = unit.groupBy("qid").agg(F.count("*").alias("n"), F.count_if(F.col("u").isNull()).alias("zeros"))
+    near = F.when(F.col("u").isNull(), F.lit(1.0)).otherwise((V.dot("u", "sum") + F.col("zeros")) / F.col("n"))
+    return unit.join(counts.join(whole, "qid", "left"), "qid").select("qid", "i", (1 - near).alias("diversity"))
 
 
-def energy(selected: DataFrame, beta: float = 0.3, gamma: float = 0.4, answer: str | None = "answer") -> DataFrame:
+def energy(selected: DataFrame, beta: float = 0.3, gamma: float = 0.4, answer: str = "answer") -> DataFrame:
     """qid, e_ctx, e_emb, e_sim, objective of selected candidates (qid, i, ctx, sim, embedding, and the embedding of the
-    question's answer). e_emb is over the pairs of the selected and the answer; with no answer column, of the selected."""
+    question's answer). e_emb is over the pairs of the selected and the answer."""
     each = selected.groupBy("qid").agg(F.sum("ctx").alias("e_ctx"), V.harmonic_mean(F.col("sim")).alias("e_sim"))
-    distances = pair_distances(selected).select("qid", "distance")
-    if answer:
-        distances = distances.unionByName(selected.select("qid", V.cosine_distance("embedding", answer).alias("distance")))
+    distances = pair_distances(selected).select("qid", "distance").unionByName(selected.select("qid", V.cosine_distance("embedding", answer).alias("distance")))
     pairs = distances.groupBy("qid").agg(V.harmonic_mean(F.col("distance")).alias("e_emb"))
     both = each.join(pairs, "qid", "left").na.fill({"e_emb": 0.0})
     return both.withColumn("objective", F.col("e_ctx") + beta * F.col("e_emb") - gamma * F.col("e_sim"))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions import text as X
+from ..session import shared_folder
 
 
 def length_gate(c: Column | str, least_words: int = 15, least_sentences: int = 2) -> Column:
@@ -52,12 +56,13 @@ def _points(*rules: tuple[Column, int]) -> Column:
     return out
 
 
-def type_scores(c: Column | str, n_sentences: Column, labels: Column, entropy: Column, n_nouns: Column | None = None, choice_points: tuple[int, int, int, int] = (2, 4, 2, 3)) -> dict[str, Column]:
-    """Additive rule scores by type. choice_points: of keyword, labelled options, many labels, "which of the following"
+def type_scores(c: Column | str, n_sentences: Column, labels: Column, entropy: Column, n_nouns: Column | None = None, choice_points: tuple[int, int, int, int] = (2, 4, 2, 3), low: Column | None = None) -> dict[str, Column]:
+    """Additive rule scores by type. `low`: the lowered text, if a column has it, so that it is made once for all lists. choice_points: of keyword, labelled options, many labels, "which of the following"
     (the older weights are 1, 3, 1, 2). Two distinct labels or more are what makes more than one label pair."""
-    x, low = X.col(c), F.lower(X.col(c))
+    x = X.col(c)
+    has = lambda words: X.contains_any(x, words) if low is None else X.has_any(low, words)
+    lowered = F.lower(x) if low is None else low
     distinct = F.size(F.array_distinct(labels))
-    has = lambda words: X.contains_any(x, words)
     k, o, m, w = choice_points
     short = _points((has(L.SHORT_WORDS), 1), ((entropy >= 0.3) & (entropy <= 0.5), 1), ((distinct >= 1) & (n_sentences > 1), 1), (x.endswith("?"), 2))
     hop = _points((has(L.REASON_WORDS), 1), ((distinct > 3) & (n_sentences > 3), 2), (distinct > 1, 2), (entropy > 0.5, 1))
@@ -65,7 +70,7 @@ def type_scores(c: Column | str, n_sentences: Column, labels: Column, entropy: C
         "short": short,
         "tf": _points((has(L.TRUTH_WORDS), 1), (n_sentences <= 2, 2), (distinct == 0, 1), (entropy < 0.3, 1)),
         "list": _points((has(L.LIST_WORDS), 1), (x.rlike("[,;]"), 2), (distinct > 2, 1), ((n_nouns if n_nouns is not None else F.lit(0)) > 5, 1)),
-        "mc": _points((has(L.CHOICE_WORDS), k), (x.rlike("[ABCD]:"), o), ((n_sentences > 1) & (distinct > 1), m), (F.contains(low, F.lit("which of the following")), w)),
+        "mc": _points((has(L.CHOICE_WORDS), k), (x.rlike("[ABCD]:"), o), ((n_sentences > 1) & (distinct > 1), m), (F.contains(lowered, F.lit("which of the following")), w)),
         "multi_hop": hop,
         "short_inverse": short,
         "multi_hop_inverse": hop,
@@ -137,6 +142,67 @@ def balanced(rows: DataFrame, scope: list[str], order: list[str], threshold: int
     return rows.groupBy(*scope).applyInPandas(fold, schema)
 
 
+def balanced_ranges(rows: DataFrame, scope: str, order: str, threshold: int = 10, ranges: int | None = None) -> DataFrame:
+    """scope, order, assigned: the same fold for scopes of any size, in constant memory.
+
+    Rows are dealt into ranges of (scope, order) and written once. A range is folded row by row; it can be once the counts
+    at its start are known, which is at once if its first scope begins in it. A scope over several ranges is passed from
+    one to the next, five counts at a time, a wave of ranges a job: all scopes that are so long go on side by side. Null
+    scopes are a scope. (scope, order) should be unique; rows that tie are folded in the order of their draws."""
+    spark, folder = rows.sparkSession, shared_folder(rows.sparkSession, "balance")
+    kinds = dict(rows.dtypes)
+    keys = [F.col(scope).alias("scope"), F.col(order).alias("at")]
+    scores = [f"score_{t}" for t in L.TYPES]
+    columns = [F.col(c) for c in (*scores, "draw", "flip")]
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.select(*keys, *columns).repartitionByRange(n, "scope", "at").withColumn("part", F.spark_partition_id()).write.parquet(f"{folder}/in")
+    dealt = spark.read.parquet(f"{folder}/in")
+    edges = {r["part"]: r for r in dealt.groupBy("part").agg(F.min(F.struct("scope")).alias("first"), F.max(F.struct("scope")).alias("last")).collect()}
+    parts = sorted(edges)
+    follows = {b: a for a, b in zip(parts, parts[1:], strict=False) if edges[a]["last"] == edges[b]["first"]}
+    known: dict[int, dict[str, int]] = {}
+    schema = f"scope {kinds[scope]}, at {kinds[order]}, assigned string, part int, counts string"
+    # A wave takes all ranges whose start is known; a scope that no range shares has but one.
+    wave = [p for p in parts if p not in follows]
+    number = 0
+    while wave:
+        starts = {p: known[follows[p]] for p in wave if p in follows}
+
+        def fold(frames: Iterator[pd.DataFrame], starts=starts) -> Iterator[pd.DataFrame]:
+            here, state = None, None
+            for pdf in frames:
+                out = []
+                for r in pdf.itertuples(index=False):
+                    now = (r.part, None if pd.isna(r.scope) else r.scope)
+                    if now != here:
+                        if here is not None and here[0] != r.part:
+                            yield _tail(here, state)
+                        first = here is None or here[0] != r.part
+                        state = Balance(starts.get(r.part) if first else None, threshold)
+                        here = now
+                    out.append(state.assign({t: getattr(r, f"score_{t}") for t in L.TYPES}, int(r.draw), int(r.flip)))
+                yield pdf[["scope", "at"]].assign(assigned=out, part=pdf["part"], counts=None)
+            if here is not None:
+                yield _tail(here, state)
+
+        now = dealt.where(F.col("part").isin(wave)).repartition("part").sortWithinPartitions("part", "scope", "at", "draw", "flip")
+        now.mapInPandas(fold, schema).write.parquet(f"{folder}/out/wave={number}")
+        ended = spark.read.schema(schema).parquet(f"{folder}/out/wave={number}").where("counts IS NOT NULL")
+        # Five counts a range.
+        known |= {r["part"]: json.loads(r["counts"]) for r in ended.select("part", "counts").collect()}
+        wave = [p for p in parts if p not in known and follows[p] in known]
+        number += 1
+    if not parts:
+        return spark.createDataFrame([], f"{scope} {kinds[scope]}, {order} {kinds[order]}, assigned string")
+    folded = spark.read.schema(f"{schema}, wave int").parquet(f"{folder}/out").where("counts IS NULL")
+    return folded.select(F.col("scope").alias(scope), F.col("at").alias(order), "assigned")
+
+
+def _tail(here: tuple, state: Balance) -> pd.DataFrame:
+    """The counts at the end of a range, as a row of their own."""
+    return pd.DataFrame({"scope": [None], "at": [None], "assigned": [None], "part": [here[0]], "counts": [json.dumps(state.counts)]})
+
+
 def discounts(counts: dict[str, Column], threshold: int = 10) -> dict[str, Column]:
     """Discount factors of given category counts."""
     most = F.greatest(*counts.values())
@@ -171,9 +237,9 @@ def cleaned(rows: DataFrame) -> DataFrame:
     return rows.withColumns({c: F.when(F.col(c).isNotNull(), X.clean_references(c)) for c in CLEANED if c in rows.columns})
 
 
-def source_of(isbn: str, section: str, page: str, paragraph_id: str) -> Column:
+def source_of(isbn: str, page: str, paragraph_id: str) -> Column:
     """Where a question comes from, with defaults for what is unknown."""
-    known = {"isbn": (isbn, "Unknown ISBN"), "section": (section, "Unknown Section"), "page": (page, "Unknown Page"), "paragraph_id": (paragraph_id, "Unknown Paragraph")}
+    known = {"isbn": (isbn, "Unknown ISBN"), "page": (page, "Unknown Page"), "paragraph_id": (paragraph_id, "Unknown ID")}
     return F.struct(*[F.coalesce(F.col(c).cast("string"), F.lit(default)).alias(name) for name, (c, default) in known.items()])
 
 

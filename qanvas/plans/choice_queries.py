@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions import text as X
+from ..functions.stem import stem
 from ..operators import choices as C
-from .base import query, sql_hash, sql_strip, sql_words, table
+from .base import query, sql_hash, sql_sentences, sql_stems, sql_strip, sql_words, table
 
 _WORD = "regexp_replace(lower(w), '[^a-z]', '', 'g')"
 #: Four options from the first words of an item; the answer is the first of them.
@@ -21,26 +22,39 @@ def items(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), w.alias("options")).withColumn("answer", F.get("options", F.lit(0))).where("answer <> ''")
 
 
+def plain_words(rows, *keys):
+    """keys and text: a row for each word of rows (text), lowered, of the letters a to z."""
+    return rows.select(*keys, F.explode(F.transform(X.words("text"), lambda x: F.regexp_replace(F.lower(x), "[^a-z]", ""))).alias("text"))
+
+
 def item_words(spark, sf_dir):
     """All words of every item, as the texts that options and answers are made of."""
-    w = F.transform(X.words("text"), lambda x: F.regexp_replace(F.lower(x), "[^a-z]", ""))
-    return table(spark, sf_dir, "benchmark").select(F.explode(w).alias("text"))
+    return plain_words(table(spark, sf_dir, "benchmark"))
+
 
+def all_words(spark, sf_dir):
+    """All words of the documents and of every item."""
+    return plain_words(table(spark, sf_dir, "documents")).unionByName(item_words(spark, sf_dir))
 
-_FIX = """
-t AS (SELECT DISTINCT text FROM (SELECT unnest(options) AS text FROM m UNION ALL SELECT answer FROM m) WHERE text <> ''),
+
+_ITEM_WORDS = f"SELECT unnest(list_transform({sql_words('text')}, lambda w: {_WORD})) AS text FROM benchmark"
+_ALL_WORDS = f"SELECT DISTINCT text FROM ({_ITEM_WORDS} UNION ALL SELECT unnest(list_transform({sql_words('text')}, lambda w: {_WORD})) FROM documents) WHERE text <> ''"
+#: Longer forms among all words of every item, found by comparing all pairs.
+_FIX = f"""
+t AS (SELECT DISTINCT text FROM ({_ITEM_WORDS}) WHERE text <> ''),
 fix AS (SELECT a.text, max(b.text) AS longer FROM t a JOIN t b ON ends_with(b.text, a.text) AND length(b.text) - length(a.text) BETWEEN 1 AND 2 GROUP BY a.text)"""
 
 
-@query(f"WITH {_OPTIONS}, {_FIX} SELECT text, longer FROM fix")
+@query(f"""WITH t AS ({_ALL_WORDS}), cut AS (SELECT text AS longer, unnest([substr(text, 2), substr(text, 3)]) AS text FROM t)
+SELECT text, max(longer) AS longer FROM t JOIN cut USING (text) WHERE length(longer) > length(text) GROUP BY text""")
 def suffix_repair(spark, sf_dir):
-    rows = items(spark, sf_dir)
-    return C.suffix_map(rows.select(F.explode("options").alias("text")).unionByName(rows.select(F.col("answer").alias("text"))))
+    """The longer form of every word of the documents and items that has one."""
+    return C.suffix_map(all_words(spark, sf_dir))
 
 
-@query()
+@query(f"WITH {_FIX} SELECT text, longer FROM fix")
 def suffix_repair_words(spark, sf_dir):
-    """suffix_repair over all words of every item; its SQL has the first five."""
+    """The longer form of every word of the items that has one."""
     return C.suffix_map(item_words(spark, sf_dir))
 
 
@@ -52,20 +66,28 @@ o AS (SELECT qid, pos, {_CAP.format("coalesce(longer, o.text)")} AS text FROM (S
 k AS (SELECT qid, min(pos) AS pos, arg_min(text, pos) AS text FROM o GROUP BY qid, lower({sql_strip("text")}))
 SELECT m.qid, {_CAP.format("coalesce(longer, m.answer)")} AS answer, (SELECT list(text ORDER BY pos) FROM k WHERE k.qid = m.qid) AS options FROM m LEFT JOIN fix ON fix.text = m.answer""")
 def mc_clean(spark, sf_dir):
-    return C.repaired(items(spark, sf_dir))
+    """Options and answers repaired by the longer forms among all words of every item."""
+    return C.repaired(items(spark, sf_dir), item_words(spark, sf_dir))
 
 
-@query(f"""WITH {_OPTIONS}, t AS (SELECT DISTINCT o AS text FROM (SELECT unnest(options) AS o FROM m) WHERE o <> '')
-SELECT a.text, arg_min(b.text, levenshtein(a.text, b.text) * 1000000000 + b.rk) AS match
-FROM (SELECT *, row_number() OVER (ORDER BY text) AS rk FROM t) a JOIN (SELECT *, row_number() OVER (ORDER BY text) AS rk FROM t) b
- ON a.text <> b.text AND left(a.text, 1) = left(b.text, 1) AND levenshtein(a.text, b.text) <= 2 GROUP BY a.text""")
+#: Words within two edits leave a common rest when each loses up to two letters.
+_LOSE = "list_transform(range(1, length({0}) + 1), lambda i: left({0}, i - 1) || substr({0}, i + 1))"
+
+
+@query(f"""WITH t AS ({_ALL_WORDS}), one AS (SELECT text, unnest({_LOSE.format("text")}) AS k FROM t), two AS (SELECT text, unnest({_LOSE.format("k")}) AS k FROM (SELECT DISTINCT text, k FROM one)),
+keys AS (SELECT text, text AS k FROM t UNION SELECT text, k FROM one UNION SELECT text, k FROM two),
+near AS (SELECT DISTINCT a.text, b.text AS match FROM keys a JOIN keys b ON a.k = b.k AND a.text <> b.text),
+rated AS (SELECT text, match, levenshtein(text, match) AS d FROM near)
+SELECT text, arg_min(match, (d, match)) AS match FROM rated WHERE d <= 2 GROUP BY text""")
 def close_match(spark, sf_dir):
-    return C.close_match(items(spark, sf_dir).select(F.explode("options").alias("text")))
+    """The nearest other word within two edits of every word of the documents and items."""
+    return C.close_match(all_words(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH t AS (SELECT DISTINCT text FROM ({_ITEM_WORDS}) WHERE text <> '')
+SELECT a.text, arg_min(b.text, (levenshtein(a.text, b.text), b.text)) AS match FROM t a JOIN t b ON a.text <> b.text AND levenshtein(a.text, b.text) <= 2 GROUP BY a.text""")
 def close_match_words(spark, sf_dir):
-    """close_match over all words of every item; its SQL has the first five."""
+    """The same over the words of the items; its SQL compares all pairs."""
     return C.close_match(item_words(spark, sf_dir))
 
 
@@ -150,25 +172,22 @@ def cand_filter_completion(spark, sf_dir):
 _UP, _LOW = "[A-ZÄÖÜÉÈÊÇÑÓÍ]", "[a-zäöüßéèêçñóí]"
 
 
-@query(f"""WITH b AS (SELECT item_id AS qid, {sql_words("text")} AS w, list_transform({sql_words("text")}, lambda s: lower(s)) AS lw FROM benchmark),
-x AS (SELECT qid, w[1] AS answer, lw, i, w[i] AS word FROM (SELECT qid, w, lw, unnest(range(2, len(w) + 1)) AS i FROM b)),
-r AS (SELECT *, row_number() OVER (PARTITION BY qid, left(lower(word), 4) ORDER BY i) AS sr, length(word) % 10 / 10.0 AS sim FROM x),
-y AS (SELECT qid, i, word, sim, CASE WHEN (regexp_matches(word, '{_UP}') AND NOT regexp_matches(word, '{_LOW}')) <> (regexp_matches(answer, '{_UP}') AND NOT regexp_matches(answer, '{_LOW}')) THEN 'case'
+@query(f"""WITH b AS (SELECT item_id AS qid, {sql_words("text")} AS w FROM benchmark),
+{sql_stems(f"SELECT DISTINCT unnest({sql_words('text')}) AS word FROM benchmark")},
+x AS (SELECT qid, answer, i, y.word, stems.stem, a.stem AS answer_stem, length(y.word) % 10 / 10.0 AS sim FROM (SELECT qid, w[1] AS answer, i, w[i] AS word FROM (SELECT qid, w, unnest(range(2, len(w) + 1)) AS i FROM b)) y
+ JOIN stems USING (word) JOIN stems a ON a.word = answer),
+r AS (SELECT *, CASE WHEN (regexp_matches(word, '{_UP}') AND NOT regexp_matches(word, '{_LOW}')) <> (regexp_matches(answer, '{_UP}') AND NOT regexp_matches(answer, '{_LOW}')) THEN 'case'
  WHEN length(word) < 2 THEN 'short' WHEN regexp_matches(left(word, 1), '{_UP}') <> regexp_matches(left(answer, 1), '{_UP}') THEN 'first letter' WHEN lower(word) IN ('idiot', 'moron') THEN 'profane'
- WHEN lower(word) = 'the' OR lower(word) = 'of' THEN 'neighbour' WHEN regexp_matches(word, '[0-9]') THEN 'digit' WHEN left(lower(word), 4) = left(lower(answer), 4) OR sr > 1 THEN 'stem' END AS reason FROM r)
+ WHEN lower(word) = 'the' OR lower(word) = 'of' THEN 'neighbour' WHEN regexp_matches(word, '[0-9]') THEN 'digit' WHEN stem = answer_stem THEN 'stem' END AS first FROM x),
+y AS (SELECT qid, i, word, sim, coalesce(first, (SELECT min('stem') FROM r e WHERE e.qid = r.qid AND e.stem = r.stem AND e.i < r.i AND e.first IS NULL)) AS reason FROM r)
 SELECT qid, i, word, reason, reason IS NULL OR (reason <> 'case' AND sim < 0.8) AS kept FROM y""")
 def cand_filter_mlm(spark, sf_dir):
-    """Words of an item as candidates for its first word; the stem stands in as the first four letters."""
-    from pyspark.sql import Window
-
+    """Words of an item as candidates for its first word."""
     rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), X.words("text").alias("w")).select("qid", "w", F.posexplode("w").alias("p", "word")).where("p > 0")
-    stem = lambda c: F.substring(F.lower(c), 1, 4)
     answer, word = F.get("w", F.lit(0)), F.col("word")
-    rows = rows.withColumns({"i": (F.col("p") + 1).cast("long"), "answer": answer, "sr": F.row_number().over(Window.partitionBy("qid", stem(word)).orderBy("p"))})
-    reason = C.mask_candidate_reason(
-        word, F.col("answer"), F.transform("w", F.lower), F.lit("the"), F.lit("of"), F.lit(False), F.lower("word").isin("idiot", "moron"), stem(word), stem(F.col("answer")), F.col("sr")
-    )
-    return rows.withColumn("reason", reason).select("qid", "i", "word", "reason", C.mask_candidate_kept(F.col("reason"), F.length("word") % 10 / 10.0).alias("kept"))
+    rows = rows.withColumns({"i": (F.col("p") + 1).cast("long"), "answer": answer, "stem": stem(word), "answer_stem": stem(answer)})
+    reason = C.mask_candidate_reason(word, F.col("answer"), F.transform("w", F.lower), F.lit("the"), F.lit("of"), F.lit(False), F.lower("word").isin("idiot", "moron"), F.col("stem"), F.col("answer_stem"))
+    return C.with_used_stems(rows.withColumn("reason", reason), "i").select("qid", "i", "word", "reason", C.mask_candidate_kept(F.col("reason"), F.length("word") % 10 / 10.0).alias("kept"))
 
 
 @query(f"WITH {_OPTIONS} SELECT qid, list_filter(options, lambda o: o <> '' AND o <> answer) AS wrong FROM m")
@@ -200,7 +219,14 @@ def blank_eligible(spark, sf_dir):
     return rows.select("item_id", (F.col("p") + 1).cast("long").alias("i"), C.blank_eligible(F.col("w"), F.col("p")).alias("eligible"))
 
 
-@query()
+_GREEDY = """ranked AS (SELECT id, position, row_number() OVER (PARTITION BY id ORDER BY score DESC, position) AS k FROM scored),
+g AS (SELECT DISTINCT id, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS taken FROM ranked
+ UNION ALL SELECT g.id, r.k, CASE WHEN len(list_filter(taken, lambda q: abs(q - r.position) < 4)) = 0 THEN list_append(taken, r.position) ELSE taken END FROM g JOIN ranked r ON r.id = g.id AND r.k = g.k + 1 WHERE len(taken) < 3),
+blanks AS (SELECT id, unnest(taken) AS position FROM (SELECT id, arg_max(taken, k) AS taken FROM g GROUP BY id))"""
+
+
+@query(f"""WITH RECURSIVE scored AS (SELECT id, position, {sql_hash("blank", "id", "position")} % 1000 AS score FROM (SELECT item_id AS id, unnest(range(0, len({sql_words("text")}))) AS position FROM benchmark)), {_GREEDY}
+SELECT id, position FROM blanks""")
 def greedy_blanks(spark, sf_dir):
     rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.posexplode(X.words("text")).alias("position", "w"))
     return C.greedy_blanks(rows.select("id", "position", (X.hashed("blank", "id", "position") % 1000 / 1000.0).alias("score")))
@@ -212,8 +238,10 @@ def tiled_text(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", X.tiled("text", F.lit(300)).alias("tiled"))
 
 
-@query()
+@query(f"""WITH s AS (SELECT item_id, {sql_sentences("text")} AS s FROM benchmark), n AS (SELECT item_id, s, list_transform(range(1, len(s) + 1), lambda k: list_sum(list_transform(s[1:k], lambda x: len({sql_words("x")})))) AS n FROM s)
+SELECT item_id, array_to_string(s[1:coalesce(list_min(list_filter(range(1, len(s) + 1), lambda k: n[k] >= 20)), len(s))], ' ') AS window FROM n""")
 def context_windows(spark, sf_dir):
+    """Round the first sentence of each item the window of 20 words or more."""
     return table(spark, sf_dir, "benchmark").select("item_id", C.context_window(X.sentences("text"), F.lit(0), 20).alias("window"))
 
 

@@ -110,11 +110,11 @@ def _sql_best(scores: dict[str, str]) -> str:
 
 
 def _annotated(spark, sf_dir):
-    return M.annotated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return M.annotated(table(spark, sf_dir, "documents").select("doc_id", "text")).withColumn("low", F.lower("text"))
 
 
 def scores_of(rows, **kw):
-    return Q.type_scores("text", F.col("n_sentences"), F.col("labels"), F.col("entropy"), **kw)
+    return Q.type_scores("text", F.col("n_sentences"), F.col("labels"), F.col("entropy"), low=F.col("low"), **kw)
 
 
 @query(f"WITH {_FEATURES} SELECT doc_id, " + ", ".join(f"CAST({s} AS INTEGER) AS {t}" for t, s in _sql_scores().items()) + " FROM f")
@@ -161,7 +161,7 @@ def type_v2(spark, sf_dir):
 SELECT type, CAST(count(*) AS BIGINT) AS n FROM kept GROUP BY type""")
 def flagship(spark, sf_dir):
     """Scan, gate, annotate, score, argmax, count: native expressions and one small shuffle."""
-    rows = M.annotated(table(spark, sf_dir, "documents").select("text").where(Q.length_gate("text") & Q.keyword_gate("text")))
+    rows = M.annotated(table(spark, sf_dir, "documents").select("text").where(Q.length_gate("text") & Q.keyword_gate("text"))).withColumn("low", F.lower("text"))
     return rows.select(Q.best_type(scores_of(rows)).alias("type")).groupBy("type").agg(F.count("*").alias("n"))
 
 

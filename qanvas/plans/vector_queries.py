@@ -13,7 +13,8 @@ from ..functions import text as X
 from ..functions import vector as V
 from ..operators import choices as C
 from ..operators import questions as Q
-from .base import query, sql_cosine, sql_hash, table
+from ..operators.projection import projected
+from .base import ORACLES, query, sql_cosine, sql_hash, table
 
 _POOL = """
 e AS (SELECT label AS qid, vec_id AS i, embedding AS v FROM embeddings),
@@ -73,19 +74,24 @@ def _chosen(spark, sf_dir, with_answer: bool = True):
     return scored(spark, sf_dir, with_answer).withColumn("rk", F.row_number().over(best)).where("rk <= 4")
 
 
-@query(f"""WITH {_SCORED}, {_CHOSEN}, d AS (SELECT x.qid, 1 - {sql_cosine("x.v", "y.v")} AS d FROM k x JOIN k y ON x.qid = y.qid AND x.i < y.i),
+#: The answer is no candidate, and ctx and sim are scaled over the candidates alone.
+_CANDIDATES = _SCORED.replace("FROM e JOIN a USING (qid))", "FROM e JOIN a USING (qid) WHERE i <> ai)").replace("arg_min(v, i) AS av", "arg_min(v, i) AS av, min(i) AS ai")
+_FAR = "CASE WHEN 1 - {0} < 1e-12 THEN 0 ELSE 1 - {0} END"
+
+
+@query(f"""WITH {_CANDIDATES}, {_CHOSEN}, d AS (SELECT x.qid, 1 - {sql_cosine("x.v", "y.v")} AS d FROM k x JOIN k y ON x.qid = y.qid AND x.i < y.i UNION ALL SELECT qid, 1 - cos FROM k),
 p AS (SELECT qid, CASE WHEN count(*) FILTER (WHERE d = 0) > 0 THEN 0 ELSE count(*) / sum(1 / nullif(d, 0)) END AS e_emb FROM d GROUP BY qid),
 q AS (SELECT qid, sum(ctx) AS e_ctx, CASE WHEN count(*) FILTER (WHERE sim = 0) > 0 THEN 0 ELSE count(*) / sum(1 / nullif(sim, 0)) END AS e_sim FROM k GROUP BY qid)
 SELECT qid, round(e_ctx, 6) AS e_ctx, round(e_sim, 6) AS e_sim, round(coalesce(e_emb, 0), 6) AS e_emb, round(e_ctx + 0.3 * coalesce(e_emb, 0) - 0.4 * e_sim, 6) AS objective FROM q LEFT JOIN p USING (qid)""")
 def energy(spark, sf_dir):
-    """As its SQL has it: without the answer's distances, and with the answer among the candidates."""
-    return C.energy(_chosen(spark, sf_dir), answer=None).select("qid", *[F.round(c, 6).alias(c) for c in ("e_ctx", "e_sim", "e_emb", "objective")])
+    """The energy of the four best candidates a question: the answer is a member of the pairs and no candidate."""
+    return C.energy(_chosen(spark, sf_dir, False)).select("qid", *[F.round(c, 6).alias(c) for c in ("e_ctx", "e_sim", "e_emb", "objective")])
 
 
-@query()
+@query(ORACLES["energy"])
 def energy_to_answer(spark, sf_dir):
-    """The energy that the selections search: the answer is a member of the pairs and no candidate."""
-    return C.energy(_chosen(spark, sf_dir, False)).select("qid", *[F.round(c, 6).alias(c) for c in ("e_ctx", "e_sim", "e_emb", "objective")])
+    """As energy, by the name under which the selections were held against it."""
+    return energy(spark, sf_dir)
 
 
 @query(f"""WITH {_SCORED}, {_CHOSEN}, d AS (SELECT x.qid, sum(1 - {sql_cosine("x.v", "y.v")}) AS delta FROM k x JOIN k y ON x.qid = y.qid AND x.i < y.i GROUP BY x.qid),
@@ -112,6 +118,14 @@ def weighted_rank(spark, sf_dir):
     return C.weighted_rank(rows).select("qid", "i", "rank", F.round("total", 6).alias("total"))
 
 
+@query()
+def principal_components(spark, sf_dir):
+    """Every embedding on the two axes of largest variance. SQL has no eigenvectors; a test holds it against a plain
+    singular value decomposition."""
+    rows = projected(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "embedding")
+    return rows.select("vec_id", "label", F.round("pc1", 6).alias("pc1"), F.round("pc2", 6).alias("pc2"))
+
+
 @query("""WITH x AS (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings) SELECT label, round(var_pop(x), 6) AS entropy, round(var_samp(x), 6) AS variance, var_samp(x) <= 0.5 AS coherent FROM x GROUP BY label""")
 def type_entropy(spark, sf_dir):
     x = table(spark, sf_dir, "embeddings").select("label", F.explode(V.doubles("embedding")).alias("x"))
@@ -150,7 +164,13 @@ def anneal_select(spark, sf_dir):
     return C.select_candidates(scored(spark, sf_dir, False), k=3)
 
 
-@query()
+@query(f"""WITH {_CANDIDATES}, u AS (SELECT x.qid, x.i, y.i AS j, {_FAR.format(sql_cosine("x.v", "y.v"))} AS d FROM s x JOIN s y ON x.qid = y.qid AND x.i < y.i),
+n AS (SELECT qid, i, ctx, sim, {_FAR.format("cos")} AS d, row_number() OVER (PARTITION BY qid ORDER BY i) AS place FROM s),
+t AS (SELECT a.qid, [a.i, b.i, c.i] AS chosen, a.ctx + b.ctx + c.ctx AS e_ctx, CASE WHEN least(a.sim, b.sim, c.sim) = 0 THEN 0 ELSE 3 / (1 / a.sim + 1 / b.sim + 1 / c.sim) END AS e_sim,
+ CASE WHEN least(ab.d, ac.d, bc.d, a.d, b.d, c.d) = 0 THEN 0 ELSE 6 / (1 / ab.d + 1 / ac.d + 1 / bc.d + 1 / a.d + 1 / b.d + 1 / c.d) END AS e_emb
+ FROM n a JOIN n b ON a.qid = b.qid AND a.place < b.place JOIN n c ON b.qid = c.qid AND b.place < c.place JOIN u ab ON ab.qid = a.qid AND ab.i = a.i AND ab.j = b.i JOIN u ac ON ac.qid = a.qid AND ac.i = a.i AND ac.j = c.i JOIN u bc ON bc.qid = a.qid AND bc.i = b.i AND bc.j = c.i),
+best AS (SELECT qid, arg_min(chosen, (-round(e_ctx + 0.3 * e_emb - 0.4 * e_sim, 12), chosen)) AS chosen FROM t GROUP BY qid)
+SELECT qid, CAST(unnest(range(1, 4)) AS INTEGER) AS slot, unnest(chosen) AS i FROM best""")
 def exact_select(spark, sf_dir):
     return C.select_candidates(scored(spark, sf_dir, False), k=3, exact=True)
 
@@ -168,9 +188,12 @@ def balance_counts(spark, sf_dir):
 @query("""WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL), m AS (SELECT user_id, max(n) AS most FROM c GROUP BY user_id)
 SELECT user_id, event_type, round(1 + (most - n) / CAST(greatest(10, most) AS DOUBLE), 6) AS discount FROM c JOIN m USING (user_id)""")
 def balance_discount(spark, sf_dir):
-    c = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
-    most = F.max("n").over(Window.partitionBy("user_id"))
-    return c.withColumn("most", most).select("user_id", "event_type", F.round(1 + (F.col("most") - F.col("n")) / F.greatest(F.lit(10), F.col("most")), 6).alias("discount"))
+    events = table(spark, sf_dir, "events")
+    kinds = [r["event_type"] for r in events.select("event_type").distinct().orderBy("event_type").collect()]  # five
+    counts = events.groupBy("user_id").agg(*[F.count_if(F.col("event_type") == k).alias(k) for k in kinds])
+    factors = Q.discounts({k: F.col(k) for k in kinds})
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("event_type"), F.col(k).alias("n"), F.round(f, 6).alias("discount")) for k, f in factors.items()]))
+    return counts.select("user_id", each.alias("d")).where("d.n > 0").select("user_id", "d.event_type", "d.discount")
 
 
 def arrivals_of(events):

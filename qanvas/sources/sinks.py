@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.lexicons import FILE_PREFIX
+from ..session import shared_folder
 
 
 def canonical(*columns: str) -> Column:
@@ -39,14 +40,20 @@ def manifest_upsert(existing: DataFrame, rows: DataFrame) -> DataFrame:
 def chunked(rows: DataFrame, order: list[str], size: int = 50, name: str = "mc_chunk") -> DataFrame:
     """rows with chunk: name_001 for the first `size` rows in order, and so on.
 
-    A global row number would put all rows in one task; ranges are numbered apart, and offset by the counts of the
-    ranges before, which are as few as the tasks."""
-    parts = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
-    own = parts.withColumn("__row", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    sizes = own.groupBy("__part").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    number = F.floor((F.col("__row") + F.col("__before") - 1) / size).cast("long") + 1
-    return own.join(F.broadcast(before), "__part").withColumn("chunk", F.format_string(f"{name}_%03d", number)).drop("__part", "__row", "__before")
+    A global row number would put all rows in one task. Rows are written once in ranges, sorted; the files' ranges are
+    then numbered apart, and offset by the counts of the ranges before, which are as few as the tasks that wrote."""
+    spark, folder = rows.sparkSession, shared_folder(rows.sparkSession, "ranges")
+    kept = [F.col(c).alias(f"c{i}") for i, c in enumerate(rows.columns)]
+    keys = [f"c{rows.columns.index(c)}" for c in order]
+    ranged = rows.select(*kept).repartitionByRange(*keys).withColumn("part", F.spark_partition_id())
+    ranged.write.parquet(folder)
+    parts = spark.read.schema(ranged.schema).parquet(folder)
+    before = parts.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("part").orderBy(*keys))
+    # One row a range.
+    numbered = parts.withColumn("own", own).join(F.broadcast(before), "part")
+    number = F.floor((F.col("own") + F.col("before") - 1) / size).cast("long") + 1
+    return numbered.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rows.columns)], F.format_string(f"{name}_%03d", number).alias("chunk"))
 
 
 def nested_books(paragraphs: DataFrame) -> DataFrame:
@@ -62,6 +69,16 @@ def write_books(books: DataFrame, folder: str) -> None:
     named.write.mode("overwrite").partitionBy("file").json(folder)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a place that isn't taken yet; this is how a result becomes visible as a whole."""
+    context = spark.sparkContext
+    a, b = (context._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    files = a.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(b.getParent())
+    if files.exists(b) or not files.rename(a, b):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def write_catalog(rows: DataFrame, path: str) -> None:
     """A catalog or manifest as CSV with a header, in as many files as there are tasks."""
     rows.write.mode("overwrite").option("header", True).csv(path)
@@ -81,11 +98,6 @@ def write_stages(outputs: dict[str, DataFrame], folder: str) -> None:
     rows.write.mode("overwrite").partitionBy("stage").json(folder)
 
 
-def write_questions(questions: DataFrame, path: str) -> None:
-    """One folder a type and book; null fields are left out of the JSON."""
-    questions.write.mode("append").partitionBy("type", "isbn").json(path)
-
-
 def overwrite_questions(questions: DataFrame, path: str) -> None:
     """All that there is, in place of what there was; null fields are left out of the JSON."""
     questions.write.mode("overwrite").json(path)

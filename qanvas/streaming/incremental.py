@@ -31,17 +31,20 @@ def append_batches(path: str, schema) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def balanced_stream(rows: DataFrame, scope: str, order: str, threshold: int = 10) -> DataFrame:
-    """scope, order, assigned of a stream with score_<type>, draw and flip columns. The state is the counts of a scope;
-    rows of a micro-batch are folded in `order`, so any cut into batches that keeps the order gives the batch result."""
+def balanced_stream(rows: DataFrame, scope: str, order: str, threshold: int = 10, carry: list[str] | None = None) -> DataFrame:
+    """scope, order, the columns to carry, assigned of a stream with score_<type>, draw and flip columns. The state is the
+    counts of a scope; rows of a micro-batch are folded in `order`, so any cut into batches that keeps the order gives the
+    batch result."""
+    kept = [scope, order, *(carry or [])]
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         balance = Balance(dict(zip(L.CATEGORIES, state.get, strict=True)) if state.exists else None, threshold)
         pdf = pd.concat(list(frames)).sort_values(order, kind="stable")
         out = [balance.assign({t: getattr(r, f"score_{t}") for t in L.TYPES}, int(r.draw), int(r.flip)) for r in pdf.itertuples(index=False)]
         state.update(tuple(balance.counts[c] for c in L.CATEGORIES))
-        yield pd.DataFrame({scope: [key[0]] * len(pdf), order: pdf[order].tolist(), "assigned": out})
+        yield pdf[kept].assign(**{scope: key[0], "assigned": out})
 
     kinds = dict(rows.dtypes)
     counts = ", ".join(f"{c} long" for c in L.CATEGORIES)
-    return rows.groupBy(F.col(scope)).applyInPandasWithState(fold, f"{scope} {kinds[scope]}, {order} {kinds[order]}, assigned string", counts, "append", GroupStateTimeout.NoTimeout)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in kept)
+    return rows.groupBy(F.col(scope)).applyInPandasWithState(fold, f"{schema}, assigned string", counts, "append", GroupStateTimeout.NoTimeout)

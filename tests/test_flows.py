@@ -31,7 +31,7 @@ def test_distractors_and_their_fallbacks(spark):
 
 def test_cloze_test_by_brute_force(spark, duck):
     hashed = lambda *x: int(hashlib.md5("|".join(map(str, x)).encode()).hexdigest()[:8], 16)
-    got = {r["id"]: (r["cloze"], [(b["position"], b["options"], b["letter"]) for b in r["blanks"]]) for r in QUERIES["cloze_test"](spark, SF).collect()}
+    got = {r["id"]: (r["cloze"], list(zip(r["positions"], r["options"], r["letters"], strict=True))) for r in QUERIES["cloze_test"](spark, SF).collect()}
     want, punctuation = {}, re.compile(r"[!\"#$%&()*+,./:;<=>?@\[\\\]^_`{|}~0-9]")
     for i, text in duck.sql("SELECT item_id, text FROM benchmark WHERE text IS NOT NULL").fetchall():
         w = text.split()

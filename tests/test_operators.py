@@ -87,7 +87,7 @@ def test_suffix_repair_and_close_match_take_all_words(spark, duck):
     longer = {w: max((x for x in words if x.endswith(w) and 1 <= len(x) - len(w) <= 2), default=None) for w in words}
     got = {r["text"]: r["longer"] for r in QUERIES["suffix_repair_words"](spark, SF).collect()}
     assert got == {w: x for w, x in longer.items() if x}
-    assert len(got) > QUERIES["suffix_repair"](spark, SF).count()
+    assert len(got) < QUERIES["suffix_repair"](spark, SF).count()  # that one has the documents' words as well
 
     def edits(a, b):
         row = list(range(len(b) + 1))
