@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -60,9 +61,31 @@ def cut(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     out = spark.read.schema(df.schema).parquet(path)
     if scratch is not None:
         scratch.paths[id(out)] = (out, path)
+    elif _stages:
+        _stages[-1].append(path)
     return out
 
 
+#: Paths of the tables that stages under way have written and nobody drops before.
+_stages: list[list[str]] = []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def tables_dropped(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written inside and not dropped there go at the end: results must have been written by then."""
+    _stages.append([])
+    try:
+        yield
+    finally:
+        for path in _stages.pop():
+            delete(spark, path)
+
+
 class Scratch:
     """Written tables that a job drops as soon as nothing reads them any more."""
 
@@ -76,10 +99,7 @@ class Scratch:
         """Delete the files of these tables; others (not of this scratch) are left alone."""
         for table in tables:
             if id(table) in self.paths:
-                _, path = self.paths.pop(id(table))
-                context = table.sparkSession.sparkContext
-                at = context._jvm.org.apache.hadoop.fs.Path(path)
-                at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+                delete(table.sparkSession, self.paths.pop(id(table))[1])
 
     def drop_all(self, but: tuple[DataFrame, ...] = ()) -> None:
         keep = {id(t) for t in but}

@@ -273,7 +273,7 @@ def emissions(sales: DataFrame, changes: DataFrame, folder: str, batches: int, f
     blank = [F.lit(NULL).alias(c) for c in ("mark", "held", "before")]
     staged = placed(rows, hot, buckets).withColumn("client", F.coalesce("client", F.lit(NULL))).withColumn("id", F.coalesce("id", F.lit(NULL)))
     staged.select(*_names(ROWS)[:9], *blank, F.col("batch").alias("part")).write.partitionBy("part").parquet(f"{folder}/staged")
-    written = spark.read.parquet(f"{folder}/staged")
+    written = spark.read.schema(f"{ROWS}, part int").parquet(f"{folder}/staged")
     largest = {(r["kind"], r["part"]): r["t"] for r in written.where(F.col("t") != NULL).groupBy("kind", "part").agg(F.max("t").alias("t")).collect()}
     marks: dict[int, list[int]] = {}
     for kind in (VERSION, SALE):

@@ -1,8 +1,11 @@
 """Secret scans by grammar inference.
 
-Base patterns mark credentials of three kinds. Their values are the labelled examples of a format: for each kind a
-prefix tree over symbol classes is built from a sample, and statistically compatible states are merged (red-blue order,
-Hoeffding bounds on ending and on every symbol, checked down the subtrees) into a probabilistic automaton. One more is
+Base patterns mark credentials of three kinds. Their values are the labelled examples of a format. A value is read as the
+alphabets of its parts: every letter or digit stands for the smallest alphabet (digits, hexadecimal, lower case with
+digits, ...) that its run is made of, other characters for themselves. So random values of one format share a way through
+the prefix tree, and its states keep their lengths and positions. For each kind the tree is built from a sample, and
+statistically compatible states are merged (red-blue order, Hoeffding bounds on ending and on every symbol, checked down
+the subtrees) into a probabilistic automaton. One more is
 learned from the candidates that no base pattern marks: one from runs of 16 or more with a digit, one from all others,
 mostly words. Every candidate (a maximal run of 6 or more credential characters, the shortest value) outside the base spans is then scored: it is marked, as kind `learned`, where a kind's
 automaton finds it more likely than either background by `min_bits`, and as likely a symbol as all but a twentieth of that kind's own examples.
@@ -40,9 +43,21 @@ KINDS = ("assign", "access", "hex", "learned")
 _IS_HEX = bytes(0x78 if b in b"0123456789abcdef" else 0x20 for b in range(256))
 _CANDIDATE = re.compile(rb"[A-Za-z0-9+/_.=-]{6,}")
 _DIGIT = re.compile(rb"[0-9]")
-#: Symbol classes: digits, hexadecimal letters and other letters of either case; other characters stand for themselves.
+#: Classes of characters: digits, hexadecimal letters and other letters of either case; other characters stand for themselves.
 _CLASS = {c: ("0" if c.isdigit() else "a" if c in "abcdef" else "g" if c.islower() else "A" if c in "ABCDEF" else "G" if c.isupper() else c) for c in map(chr, range(33, 127))}
 _CLASSES = bytes(ord(_CLASS.get(chr(b), "?")) for b in range(256))
+#: The alphabets, smallest first: the classes that a run may be made of, and the symbol of its characters.
+ALPHABETS = [("0", "0"), ("0a", "h"), ("0A", "H"), ("0ag", "l"), ("0AG", "U"), ("0agAG", "x")]
+_RUN = re.compile("[0agAG]+")
+
+
+def symbols(look: str) -> str:
+    """A value's classes as the alphabets of its runs."""
+    return _RUN.sub(lambda m: next(s for classes, s in ALPHABETS if not m[0].strip(classes)) * len(m[0]), look)
+
+
+def looks(value: str) -> str:
+    return symbols(value.encode("latin-1", "replace").translate(_CLASSES).decode("latin-1"))
 
 
 def base_spans(data: bytes) -> list[tuple[int, int, int, int]]:
@@ -79,13 +94,13 @@ def background(value: bytes) -> str:
 class Automaton:
     """A probabilistic automaton: for each state its end count, its visits, and its symbols with next state and count."""
 
-    def __init__(self, values: list[str], alpha: float = 0.01) -> None:
+    def __init__(self, values: list[str], alpha: float = 0.05) -> None:
         self.visits, self.ends, self.next = [0], [0], [{}]
+        values = [looks(v) for v in values]
         for value in values:
             state = 0
             self.visits[0] += 1
-            for c in value:
-                s = _CLASS.get(c, "?")
+            for s in value:
                 if s not in self.next[state]:
                     self.next[state][s] = [len(self.next), 0]
                     self.visits.append(0)
@@ -98,7 +113,7 @@ class Automaton:
         self.width = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge_states()
         each = sorted(self.bits(v) / (len(v) + 1) for v in values)
-        self.typical = each[len(each) // 20] if each else 0.0
+        self.typical = each[len(each) // 20] - 1e-9 if each else 0.0
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         return n1 > 0 and n2 > 0 and abs(f1 / n1 - f2 / n2) > self.width * (1 / math.sqrt(n1) + 1 / math.sqrt(n2))
@@ -151,10 +166,9 @@ class Automaton:
         self.next = [{s: [number[c], n] for s, (c, n) in self.next[r].items()} for r in red]
 
     def bits(self, value: str, symbols: int = 16) -> float:
-        """log2 of the value's probability, with add-half smoothing over the symbols; unseen symbols stay in place."""
+        """log2 of the probability of a value's symbols, with add-half smoothing; unseen symbols stay in place."""
         state, total = 0, 0.0
-        for c in value:
-            s = _CLASS.get(c, "?")
+        for s in value:
             step = self.next[state].get(s)
             total += math.log2(((step[1] if step else 0) + 0.5) / (self.visits[state] + 0.5 * symbols))
             state = step[0] if step else state
@@ -164,7 +178,7 @@ class Automaton:
 class Formats:
     """The automata of the kinds, and of the background."""
 
-    def __init__(self, examples: dict[str, list[str]], min_examples: int = 20, min_bits: float = 20.0) -> None:
+    def __init__(self, examples: dict[str, list[str]], min_examples: int = 8, min_bits: float = 20.0) -> None:
         self.min_bits = min_bits
         enough = {k: Automaton(sorted(v)) for k, v in sorted(examples.items()) if len(v) >= min_examples}
         self.grounds = [enough.pop(k) for k in ("background", "words") if k in enough]
@@ -173,12 +187,13 @@ class Formats:
 
     def score(self, value: str) -> tuple[float, str | None]:
         """Bits over the likelier background of the likeliest kind whose examples the value is like, and that kind."""
+        value = looks(value)
         ground = max((g.bits(value) for g in self.grounds), default=-(len(value) + 1) * 4.0)
         fit = [(a.bits(value) - ground, k) for k, a in self.kinds.items() if a.bits(value) / (len(value) + 1) >= a.typical]
         return max(fit, default=(-math.inf, None))
 
     def takes(self, value: bytes) -> bool:
-        """Whether the automata take a value for a credential; they see its symbol classes alone, so values share answers."""
+        """Whether the automata take a value for a credential; they see its classes alone, so values share answers."""
         look = value.translate(_CLASSES)
         if look not in self.known:
             if len(self.known) >= 200_000:

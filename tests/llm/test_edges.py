@@ -3,6 +3,7 @@
 import random
 import string
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -385,3 +386,60 @@ def test_repeated_payloads_match_sql(spark):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{folder}/pages.parquet/*.parquet')")
     same(QUERIES["op10_warc"](spark, folder), con.sql(ORACLES["op10_warc"]))
+
+
+def test_secrets_are_found_by_their_formats_in_a_table(spark):
+    """Credentials of three formats under keys teach the automata; the query then finds the same formats without a key,
+    and leaves card numbers, addresses, words, and runs of another length alone."""
+    from qanvas.llm.queries import QUERIES
+
+    rng = random.Random(11)
+    draw = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    alnum = string.ascii_letters + string.digits
+    formats = [lambda: draw(20, "0123456789abcdef"), lambda: "sk_live_" + draw(24, alnum), lambda: "AKIA" + draw(16, string.ascii_uppercase + string.digits)]
+    harmless = [lambda: draw(16, string.digits), lambda: f"mail{rng.randint(1, 9)}.example.com", lambda: ".".join(str(rng.randint(100, 255)) for _ in range(4)), lambda: draw(13, "0123456789abcdef"), lambda: draw(21, alnum)]
+    prose = lambda: " ".join(draw(rng.randint(2, 12), "etaoinshrdlu") for _ in range(30))
+    rows, want = [], {}
+    for i in range(400):
+        kind = i % 3
+        if i < 240:
+            text = f"{prose()} {'api_key' if kind < 2 else 'key'} = {formats[kind]()} {prose()} {harmless[i % 5]()}"
+        else:
+            lead, key = prose() + " ", formats[kind % 2]()
+            text, want[i] = f"{lead}{key} {prose()} {harmless[i % 5]()}", f"learned:{len(lead)}:{len(lead) + len(key)}"
+        rows.append((i, text))
+    folder = warc.fresh_path(spark, "secrets").removeprefix("file://")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    found = {(r["doc_id"], s) for r in QUERIES["op5_secrets"](spark, folder).collect() for s in r["spans"].split(",") if s.startswith("learned")}
+    planted = set(want.items())
+    assert len(found & planted) >= 0.9 * len(planted)  # recall; a twentieth of a format's own examples is unlike the rest
+    assert len(found & planted) >= 0.98 * len(found)  # precision
+    formats_of = secrets.Formats(secrets.examples(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert all(len(a.visits) > 20 for a in formats_of.kinds.values()) and {"assign", "access"} <= set(formats_of.kinds)
+
+
+def test_symbols_are_the_alphabets_of_runs():
+    assert [secrets.looks(x) for x in ("2024", "04dbe", "FF00", "hunter2", "AKIA9Z", "aB3", "sk_live-Ab12.9x", "")] == ["0000", "hhhhh", "HHHH", "lllllll", "UUUUUU", "xxx", "ll_llll-xxxx.ll", ""]
+
+
+def test_pipeline_runs_through_and_drops_its_tables(spark, awkward, empty, tmp_path, labels):
+    """All stages in a row over awkward and over empty documents; the rows are those of the stages one by one, packed."""
+    from qanvas.llm.common import shared_dir
+
+    root = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    for name, docs in (("awkward", awkward), ("empty", empty)):
+        folder = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        labels.write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(1, BASE)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        before = set(map(str, Path(root).glob("pipeline-*/*")))
+        got = corpus_pipeline.run(spark, folder).select("doc_id", "start", "length", "ids_crc32", "doc_tokens").collect()
+        left = set(map(str, Path(root).glob("pipeline-*/*"))) - before
+        assert [p.rpartition("/")[2] for p in left] == ["3-secret_scans"]
+        kept = spark.read.parquet(*left)
+        assert kept.columns == docs.columns
+        wanted = packing.pack(kept).select("doc_id", "start", "length", "ids_crc32", "doc_tokens").collect()
+        whole = lambda rows: sorted((str(r["doc_id"]), r["doc_tokens"]) for r in rows if r["start"] == 0)
+        assert whole(got) == whole(wanted) and len(whole(got)) == kept.count()
+        ids = {r["doc_id"] for r in kept.collect()}
+        assert name == "empty" or not {1, 2} & ids  # the benchmark's text and its copy are gone
