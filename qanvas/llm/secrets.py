@@ -1,14 +1,16 @@
 """Secret scans by grammar inference.
 
-Base patterns mark credentials of three kinds. Their values are the labelled examples of a format. A value is read as the
-alphabets of its parts: every letter or digit stands for the smallest alphabet (digits, hexadecimal, lower case with
-digits, ...) that its run is made of, other characters for themselves. So random values of one format share a way through
-the prefix tree, and its states keep their lengths and positions. For each kind the tree is built from a sample, and
+Base patterns mark credentials of three kinds. Their values are the labelled examples of a format. A value is seen in two
+ways: as the alphabets of its parts (every letter or digit stands for the smallest alphabet - digits, hexadecimal, lower
+case with digits, ... - that its run is made of, other characters for themselves), and as the classes of its characters.
+By alphabets, random values of one format share a way through the prefix tree, so its states keep lengths and positions;
+by classes, the same alphabet in another length is alike too. For each kind and view the tree is built from a sample, and
 statistically compatible states are merged (red-blue order, Hoeffding bounds on ending and on every symbol, checked down
 the subtrees) into a probabilistic automaton. One more is
 learned from the candidates that no base pattern marks: one from runs of 16 or more with a digit, one from all others,
-mostly words. Every candidate (a maximal run of 6 or more credential characters, the shortest value) outside the base spans is then scored: it is marked, as kind `learned`, where a kind's
-automaton finds it more likely than either background by `min_bits`, and as likely a symbol as all but a twentieth of that kind's own examples.
+mostly words. Every candidate (a maximal run of 6 or more credential characters, the shortest value) outside the base spans is then scored: it is marked, as kind `learned`, where in either view a
+kind's automaton finds it more likely than either background by `min_bits`, and as likely a symbol as all but a twentieth
+of that kind's own examples.
 
 Plan: one pass gathers, in each task, the `sample` distinct values of smallest hash per kind; the smallest of all tasks
 follow by an ordered limit. So the sample is drawn over all documents and has a fixed size (automata are fitted to it:
@@ -25,6 +27,7 @@ import hashlib
 import heapq
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,11 +56,15 @@ _RUN = re.compile("[0agAG]+")
 
 def symbols(look: str) -> str:
     """A value's classes as the alphabets of its runs."""
-    return _RUN.sub(lambda m: next(s for classes, s in ALPHABETS if not m[0].strip(classes)) * len(m[0]), look)
+    return _RUN.sub(lambda m: next(s for those, s in ALPHABETS if not m[0].strip(those)) * len(m[0]), look)
+
+
+def classes(value: str) -> str:
+    return value.encode("latin-1", "replace").translate(_CLASSES).decode("latin-1")
 
 
 def looks(value: str) -> str:
-    return symbols(value.encode("latin-1", "replace").translate(_CLASSES).decode("latin-1"))
+    return symbols(classes(value))
 
 
 def base_spans(data: bytes) -> list[tuple[int, int, int, int]]:
@@ -96,7 +103,6 @@ class Automaton:
 
     def __init__(self, values: list[str], alpha: float = 0.05) -> None:
         self.visits, self.ends, self.next = [0], [0], [{}]
-        values = [looks(v) for v in values]
         for value in values:
             state = 0
             self.visits[0] += 1
@@ -176,21 +182,38 @@ class Automaton:
 
 
 class Formats:
-    """The automata of the kinds, and of the background."""
+    """The automata of the kinds, and of the background, in two views of a value: the alphabets of its runs, which keep
+    a format's lengths and positions, and its classes, which generalise over them. Long runs that look just as a
+    twentieth or more of a kind's examples do are no background: they may be the same credentials without a key."""
 
     def __init__(self, examples: dict[str, list[str]], min_examples: int = 8, min_bits: float = 20.0) -> None:
         self.min_bits = min_bits
-        enough = {k: Automaton(sorted(v)) for k, v in sorted(examples.items()) if len(v) >= min_examples}
-        self.grounds = [enough.pop(k) for k in ("background", "words") if k in enough]
-        self.kinds = enough
+        shared = set()
+        for kind, values in examples.items():
+            if kind not in ("background", "words"):
+                shared |= {look for look, n in Counter(map(looks, values)).items() if n >= max(2, len(values) / 20)}
+        kept = examples | {"background": [v for v in examples.get("background", []) if looks(v) not in shared]}
+        enough = {k: sorted(v) for k, v in sorted(kept.items()) if len(v) >= min_examples}
+        #: (view, automata of the kinds, automata of the background)
+        self.views = []
+        for view in (looks, classes):
+            automata = {k: Automaton([view(x) for x in v]) for k, v in enough.items()}
+            grounds = [automata.pop(k) for k in ("background", "words") if k in automata]
+            self.views.append((view, automata, grounds))
+        self.kinds = self.views[0][1]
         self.known: dict[bytes, bool] = {}
 
     def score(self, value: str) -> tuple[float, str | None]:
         """Bits over the likelier background of the likeliest kind whose examples the value is like, and that kind."""
-        value = looks(value)
-        ground = max((g.bits(value) for g in self.grounds), default=-(len(value) + 1) * 4.0)
-        fit = [(a.bits(value) - ground, k) for k, a in self.kinds.items() if a.bits(value) / (len(value) + 1) >= a.typical]
-        return max(fit, default=(-math.inf, None))
+        best = (-math.inf, None)
+        for view, kinds, grounds in self.views:
+            seen = view(value)
+            ground = max((g.bits(seen) for g in grounds), default=-(len(seen) + 1) * 4.0)
+            for k, a in kinds.items():
+                own = a.bits(seen)
+                if own / (len(seen) + 1) >= a.typical:
+                    best = max(best, (own - ground, k), key=lambda x: x[0])
+        return best
 
     def takes(self, value: bytes) -> bool:
         """Whether the automata take a value for a credential; they see its classes alone, so values share answers."""

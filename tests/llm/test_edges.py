@@ -390,14 +390,14 @@ def test_repeated_payloads_match_sql(spark):
 
 def test_secrets_are_found_by_their_formats_in_a_table(spark):
     """Credentials of three formats under keys teach the automata; the query then finds the same formats without a key,
-    and leaves card numbers, addresses, words, and runs of another length alone."""
+    and leaves card numbers, addresses, order numbers, words, and mixed runs of another length alone."""
     from qanvas.llm.queries import QUERIES
 
     rng = random.Random(11)
     draw = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
     alnum = string.ascii_letters + string.digits
     formats = [lambda: draw(20, "0123456789abcdef"), lambda: "sk_live_" + draw(24, alnum), lambda: "AKIA" + draw(16, string.ascii_uppercase + string.digits)]
-    harmless = [lambda: draw(16, string.digits), lambda: f"mail{rng.randint(1, 9)}.example.com", lambda: ".".join(str(rng.randint(100, 255)) for _ in range(4)), lambda: draw(13, "0123456789abcdef"), lambda: draw(21, alnum)]
+    harmless = [lambda: draw(16, string.digits), lambda: f"mail{rng.randint(1, 9)}.example.com", lambda: ".".join(str(rng.randint(100, 255)) for _ in range(4)), lambda: f"ORD-{rng.randint(2000, 2030)}-{rng.randint(1000, 9999)}", lambda: draw(21, alnum)]
     prose = lambda: " ".join(draw(rng.randint(2, 12), "etaoinshrdlu") for _ in range(30))
     rows, want = [], {}
     for i in range(400):
