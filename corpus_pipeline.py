@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from qanvas.llm import decontaminate, near_dedup, packing, quality, secrets
-from qanvas.llm.common import fresh_path
+from qanvas.llm.common import delete, fresh_path, tables_dropped
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +50,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each returns is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents; what each returns is written to the shared folder and read again. Once a stage is
+    written, what it has read and the tables that it made on its way are dropped."""
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     folder = fresh_path(spark, "pipeline")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs.write.parquet(f"{folder}/{i}-{name}")
-            docs = spark.read.parquet(f"{folder}/{i}-{name}")
-    return docs
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        path = f"{folder}/{i}-{name}"
+        with tables_dropped(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if read is not None:
+            delete(spark, read)
+        docs, read = spark.read.parquet(path), path
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -13,6 +13,26 @@ from .lexicons import END_MARK, START_MARK
 from .text import between_marks, col, lines, once, strip
 
 
+# The labels that generated text puts before its fields, as patterns, by record type.
+SHORT = r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(.*)"
+SHORT_INVERSE = (
+    r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(.*?)\s*\*\*Incorrect Answer Explanation:\*\*\s*"
+    r"- \*\*False Answer Given:\*\*\s*(.*?)\s*- \*\*Why It Is Incorrect:\*\*\s*(.*)"
+)
+#: Its fields one by one, where the whole leaves one empty.
+SHORT_INVERSE_FIELDS = (
+    r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*", r"(?s)\*\*Answer:\*\*\s*(.*?)\s*\*\*Incorrect Answer Explanation:\*\*",
+    r"(?s)- \*\*False Answer Given:\*\*\s*(.*?)\s*- \*\*Why It Is Incorrect:\*\*", r"(?s)- \*\*Why It Is Incorrect:\*\*\s*(.*?)\s*(?:\n|$)",
+)
+TRUE_FALSE = r"(?is)\*\*Statement:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(\bTrue\b|\bFalse\b)"
+LISTING = r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Options:\*\*\s*(.*?)\*\*Answer:\*\*\s*(.*)"
+CHOICE_QUESTION = (r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Options:\*\*", r"(?s)Question:\s*(.*?)\s*(?:\*\*Options:\*\*|Options:)")
+CHOICE_OPTIONS = (r"(?s)\*\*Options:\*\*\s*(.*?)\s*\*\*Answer:\*\*", r"(?s)Options:\s*(.*?)\s*(?:\*\*Answer:\*\*|Answer:)")
+CHOICE_ANSWER = (r"\*\*Answer:\*\*\s*([ABCD])", r"Answer:\s*([ABCD])")
+MULTI_HOP = r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(.*?)\s*\*\*Reasoning:\*\*\s*(.*)"
+MULTI_HOP_INVERSE = r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(.*?)\s*\*\*Reasoning:\*\*\s*(.*?)\s*\*\*Incorrect Reasoning Step:\*\*\s*(.*)"
+
+
 def body(c: Column | str, occurrence: int = 1) -> Column:
     return between_marks(c, START_MARK, END_MARK, occurrence)
 
@@ -32,32 +52,24 @@ def _record(valid: Column, **fields: Column) -> Column:
 
 
 def short(c: Column | str) -> Column:
-    x, pattern = col(c), r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(.*)"
-    answer = strip(F.element_at(F.split(strip(_group(x, pattern, 2)), r"\n|\s{2,}"), 1))
-    return _record(x.rlike(pattern), question=strip(_group(x, pattern, 1)), answer=answer)
+    x = col(c)
+    answer = strip(F.element_at(F.split(strip(_group(x, SHORT, 2)), r"\n|\s{2,}"), 1))
+    return _record(x.rlike(SHORT), question=strip(_group(x, SHORT, 1)), answer=answer)
 
 
 def short_inverse(c: Column | str) -> Column:
     x = col(c)
-    whole = (
-        r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(.*?)\s*\*\*Incorrect Answer Explanation:\*\*\s*"
-        r"- \*\*False Answer Given:\*\*\s*(.*?)\s*- \*\*Why It Is Incorrect:\*\*\s*(.*)"
-    )
-    again = (
-        r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*", r"(?s)\*\*Answer:\*\*\s*(.*?)\s*\*\*Incorrect Answer Explanation:\*\*",
-        r"(?s)- \*\*False Answer Given:\*\*\s*(.*?)\s*- \*\*Why It Is Incorrect:\*\*", r"(?s)- \*\*Why It Is Incorrect:\*\*\s*(.*?)\s*(?:\n|$)",
-    )
     names = ("question", "answer", "false_answer", "incorrect_explanation")
-    fields = {n: _filled(strip(_group(x, whole, i + 1)), strip(_group(x, again[i]))) for i, n in enumerate(names)}
-    valid = x.rlike(whole)
+    fields = {n: _filled(strip(_group(x, SHORT_INVERSE, i + 1)), strip(_group(x, SHORT_INVERSE_FIELDS[i]))) for i, n in enumerate(names)}
+    valid = x.rlike(SHORT_INVERSE)
     for f in fields.values():
         valid = valid & f.isNotNull()
     return _record(valid, **fields)
 
 
 def true_false(c: Column | str) -> Column:
-    x, pattern = col(c), r"(?is)\*\*Statement:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(\bTrue\b|\bFalse\b)"
-    return _record(x.rlike(pattern), question=strip(_group(x, pattern, 1)), answer=F.initcap(F.lower(_group(x, pattern, 2))))
+    x = col(c)
+    return _record(x.rlike(TRUE_FALSE), question=strip(_group(x, TRUE_FALSE, 1)), answer=F.initcap(F.lower(_group(x, TRUE_FALSE, 2))))
 
 
 def bullets(block: Column) -> Column:
@@ -67,7 +79,7 @@ def bullets(block: Column) -> Column:
 
 
 def listing(c: Column | str) -> Column:
-    x, pattern = col(c), r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Options:\*\*\s*(.*?)\*\*Answer:\*\*\s*(.*)"
+    x, pattern = col(c), LISTING
     options, answers = bullets(_group(x, pattern, 2)), bullets(_group(x, pattern, 3))
     return _record(x.rlike(pattern) & (F.size(options) > 0) & (F.size(answers) > 0), question=strip(_group(x, pattern, 1)), options=options, answer=answers)
 
@@ -76,9 +88,8 @@ def multiple_choice(c: Column | str, anchored: bool = True) -> Column:
     """Question, options A to D, letter of the right one. Options are found at line starts; anchored=False takes any
     letter A to D for a label, as older files were read."""
     x = col(c)
-    question = F.coalesce(_group(x, r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Options:\*\*"), _group(x, r"(?s)Question:\s*(.*?)\s*(?:\*\*Options:\*\*|Options:)"))
-    block = strip(F.coalesce(_group(x, r"(?s)\*\*Options:\*\*\s*(.*?)\s*\*\*Answer:\*\*"), _group(x, r"(?s)Options:\s*(.*?)\s*(?:\*\*Answer:\*\*|Answer:)")))
-    letter = F.coalesce(_group(x, r"\*\*Answer:\*\*\s*([ABCD])"), _group(x, r"Answer:\s*([ABCD])"))
+    first = lambda patterns: F.coalesce(*[_group(x, p) for p in patterns])
+    question, block, letter = first(CHOICE_QUESTION), strip(first(CHOICE_OPTIONS)), first(CHOICE_ANSWER)
     at, mark = ("(?:^|\\n)\\s*", "[:.]") if anchored else ("", "[:.]?")
     next_ = {"A": "B", "B": "C", "C": "D"}
 
@@ -101,14 +112,14 @@ def _plain(c: Column) -> Column:
 
 
 def multi_hop(c: Column | str) -> Column:
-    x, pattern = col(c), r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(.*?)\s*\*\*Reasoning:\*\*\s*(.*)"
+    x, pattern = col(c), MULTI_HOP
     question, answer, reasoning = (_plain(_group(x, pattern, i)) for i in (1, 2, 3))
     return _record((question != "") & (answer != "") & (reasoning != ""), question=question, answer=answer, reasoning=lines(reasoning))
 
 
 def multi_hop_inverse(c: Column | str) -> Column:
     x = col(c)
-    pattern = r"(?s)\*\*Question:\*\*\s*(.*?)\s*\*\*Answer:\*\*\s*(.*?)\s*\*\*Reasoning:\*\*\s*(.*?)\s*\*\*Incorrect Reasoning Step:\*\*\s*(.*)"
+    pattern = MULTI_HOP_INVERSE
     question, answer, reasoning, wrong = (_plain(_group(x, pattern, i)) for i in (1, 2, 3, 4))
     valid = (question != "") & (answer != "") & (F.size(lines(reasoning)) > 0) & (F.size(lines(wrong)) > 0)
     return _record(valid, question=question, answer=answer, reasoning=lines(reasoning), incorrect_reasoning_step=lines(wrong))

@@ -33,7 +33,8 @@ REASON_WORDS = [
     "relationship", "process", "interconnected", "logic", "rationale", "progression", "inference",
 ]
 
-#: Alternations, matched without regard to case, of the older scorers.
+#: Alternations, matched without regard to case, of the older scorers. "dependencies", which stood there twice, is
+#: listed once: the alternation matches the same texts.
 V1_CHOICE = "option|choice|select|choose|correct answer|following"
 V2_CHOICE = "option|choice|select|following|correct answer|choose|questionnaire|quiz"
 V2_REASON = (

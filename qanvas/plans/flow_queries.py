@@ -84,6 +84,17 @@ def word_lists(spark, sf_dir):
     return B.word_list(spark, f"{folder}/a", f"{folder}/b")
 
 
+@query("""WITH p AS (SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS page, replace(text, chr(12), ' ') AS text FROM documents WHERE text IS NOT NULL)
+SELECT source, page, text FROM p WHERE regexp_matches(text, '[^ \n\r\t]')""")
+def page_scan(spark, sf_dir):
+    """Documents as the pages of a file a source, parted by form feeds, scanned page by page."""
+    folder = shared_folder(spark, "pages")
+    rows = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("source", "doc_id", F.translate("text", "\f", " ").alias("text"))
+    rows.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "text").write.partitionBy("source").option("lineSep", "\f").text(folder)
+    pages = B.text_pages(spark, f"{folder}/source=*")
+    return pages.select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "page", "text")
+
+
 _TEMPLATES = {t: f"Write a {t} question.\nText: {{paragraph_text}}\nAnswer:" for t in ("short", "tf", "list", "mc", "multi_hop", "short_inverse", "multi_hop_inverse")}
 _NAMES = ", ".join(f"'{t}'" for t in _TEMPLATES)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,20 @@ def pages_of_files(files: DataFrame, extract: Callable[[bytes], list[str]]) -> D
     return files.select("path", "content").mapInPandas(run, "path string, page int, text string, error string")
 
 
+def text_pages(spark: SparkSession, path: str) -> DataFrame:
+    """path, page (from 1), text, error of files whose pages a form feed parts, as extractors write them. Files are read in
+    ranges and page by page, so memory does not grow with a file. Empty pages are counted and left out; a page with bytes
+    that are no UTF-8 has the error and no text."""
+    raw = spark.read.option("lineSep", "\f").text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("place"), F.col("value").alias("text")
+    )
+    # Ranges of a file in order, rows of a range in order: what sorts are two numbers a page, the text only follows.
+    paged = raw.withColumn("page", F.row_number().over(Window.partitionBy("path").orderBy("start", "place")))
+    bad = ~F.is_valid_utf8("text")
+    kept = paged.where(F.trim(F.translate("text", "\n\r\t", "   ")) != "")
+    return kept.select("path", "page", F.when(~bad, F.col("text")).alias("text"), F.when(bad, "not UTF-8").alias("error"))
+
+
 def books(spark: SparkSession, path: str) -> DataFrame:
     """isbn, title, paragraphs of book files; files that are not JSON give no row."""
     raw = spark.read.schema(T.StructType([*BOOK.fields, T.StructField("_corrupt", T.StringType())])).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").option("ignoreMissingFiles", True).json(path)

@@ -49,3 +49,23 @@ def test_cloze_test_by_brute_force(spark, duck):
         if w:
             want[i] = (" ".join("_" if p in blanks else x for p, x in enumerate(w)), out)
     assert got == want and any(b for _, b in want.values())
+
+
+def test_pages_of_large_and_broken_files(spark, tmp_path):
+    """A file in many ranges, empty pages, a page that is no UTF-8, a file without a form feed."""
+    from qanvas.sources import books as B
+
+    pages = [f"page {i} é " + "x" * (i * 37 % 900) if i % 5 else " \n" for i in range(1, 400)]
+    (tmp_path / "a.txt").write_bytes("\f".join(pages).encode())
+    (tmp_path / "b.txt").write_bytes(b"good\fbad \xff\xfe\f\flast\nline")
+    (tmp_path / "c.txt").write_bytes(b"only")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = B.text_pages(spark, str(tmp_path))
+        got = {(r["path"][-5:], r["page"]): (r["text"], r["error"]) for r in df.collect()}
+        assert df.rdd.getNumPartitions() > 0 and spark.read.option("lineSep", "\f").text(str(tmp_path)).rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    want = {("a.txt", i): (p, None) for i, p in enumerate(pages, 1) if p.strip()}
+    assert got == want | {("b.txt", 1): ("good", None), ("b.txt", 2): (None, "not UTF-8"), ("b.txt", 4): ("last\nline", None), ("c.txt", 1): ("only", None)}
