@@ -169,23 +169,29 @@ def mask_pools(asked: DataFrame, vocabulary: Vocabulary, size: int = 64, alpha:
     return rows.mapInPandas(run, "qid long, slot int, token int, word string, place int, reason string, p_sentence double, p_passage double")
 
 
-def best_tokens(p: Column | str, allowed: list[bool], width: int) -> Column:
-    """The `width` allowed tokens of largest probability, ties by token, with it: an array of (token, p)."""
-    may = np.flatnonzero(np.asarray(allowed, dtype=bool))
+def likeliest(p: np.ndarray, allowed: np.ndarray, width: int) -> list[dict]:
+    """The `width` tokens of largest probability among the allowed ones (token numbers), ties by token, with it."""
+    own = allowed[allowed < len(p)]
+    if len(own) > width:
+        least = np.partition(p[own], len(own) - width)[len(own) - width]
+        own = own[p[own] >= least]
+    own = own[np.lexsort((own, -p[own]))][:width]
+    return [{"token": int(t), "p": float(p[t])} for t in own]
 
-    def top(values: pd.Series) -> pd.Series:
-        out = []
-        for x in values:
-            x = np.asarray([] if x is None else x, dtype=float)
-            own = may[may < len(x)]
-            if len(own) > width:
-                least = np.partition(x[own], len(own) - width)[len(own) - width]
-                own = own[x[own] >= least]
-            own = own[np.lexsort((own, -x[own]))][:width]
-            out.append([{"token": int(t), "p": float(x[t])} for t in own])
-        return pd.Series(out)
 
-    return F.pandas_udf(top, "array<struct<token:int,p:double>>")(X.col(p))
+def with_likeliest(states: DataFrame, allowed: dict[str, list[bool]], width: int) -> DataFrame:
+    """states (p, the probabilities of all tokens) without p, and with a column of the likeliest tokens for each set."""
+    kept = [c for c in states.columns if c != "p"]
+    may = {name: np.flatnonzero(np.asarray(x, dtype=bool)) for name, x in allowed.items()}
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = [np.asarray([] if x is None else x, dtype=float) for x in pdf["p"]]
+            yield pdf[kept].assign(**{name: [likeliest(x, tokens, width) for x in rows] for name, tokens in may.items()})
+
+    kinds = dict(states.dtypes)
+    schema = ", ".join([*[f"{c} {kinds[c]}" for c in kept], *[f"{name} array<struct<token:int,p:double>>" for name in allowed]])
+    return states.mapInPandas(run, schema)
 
 
 def beam_suffixes(asked: DataFrame, pieces: list[tuple[str, bool]], words: DataFrame, score: Callable[[DataFrame], DataFrame], width: int = 5) -> DataFrame:
@@ -205,9 +211,8 @@ def beam_suffixes(asked: DataFrame, pieces: list[tuple[str, bool]], words: DataF
     found, depth = [], asked.agg(F.max("depth")).first()[0] or 0
     for step in range(1, depth + 1):
         state = state.where(F.col("depth") >= step)
-        rated = score(state.withColumn("step", F.lit(step))).withColumn("first", best_tokens("p", starts, width))
-        if step < depth:
-            rated = rated.withColumn("next", best_tokens("p", ends, width))
+        rated = score(state.withColumn("step", F.lit(step))).select("qid", "start", "depth", "tokens", "path", "text", "p")
+        rated = with_likeliest(rated, {"first": starts} | ({"next": ends} if step < depth else {}), width)
         tried = rated.select("qid", "start", "tokens", "path", "text", F.posexplode("first").alias("rank", "t"))
         tried = tried.withColumn("word", F.lower(F.concat(F.get(texts, F.col("t.token")), "text")))
         first = tried.join(known, "word").groupBy("qid", "start", "path").agg(F.min(F.struct("rank", "t", "tokens")).alias("b"))

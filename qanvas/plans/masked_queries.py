@@ -172,7 +172,8 @@ def beam_suffixes(spark, sf_dir):
     added = F.aggregate("tokens", F.lit(0).cast("long"), lambda a, x: a + x)
 
     def score(states):
-        return states.withColumn("p", F.transform(each, lambda t: (F.col("qid") * 7919 + added * 104729 + t * 1299709 + F.col("step") * 15485863) % 1000003 / F.lit(1000003.0)))
+        own = F.col("qid") * 7919 + added * 104729 + F.col("step") * 15485863
+        return states.withColumn("p", X.once(own, lambda base: F.transform(each, lambda t: (base + t * 1299709) % 1000003 / F.lit(1000003.0))))
 
     return M.beam_suffixes(asked, pieces, plain("benchmark").unionByName(plain("conversations")), score, WIDTH).withColumn("p", F.round("p", 9))
 
