@@ -68,16 +68,18 @@ def close_pairs(texts: DataFrame, most_edits: int = 2) -> DataFrame:
     What is joined is verified."""
     n = F.length("text")
     rests = texts.where(n <= SHORT_TEXT + most_edits).select("text", F.explode(_neighbourhood(F.col("text"), most_edits)).alias("key"))
-    short = rests.join(rests.select(F.col("text").alias("match"), "key"), "key").select("text", "match")
+    short = rests.join(rests.select(F.col("text").alias("match"), "key"), "key").where("text < match").select("text", "match")
     long = texts.where(n > SHORT_TEXT)
     own = long.select(F.col("text").alias("match"), F.length("text").alias("n"), F.explode(_segments(n, most_edits)).alias("s"))
     own = own.select("match", "n", "s.part", F.substring("match", F.col("s.start"), F.col("s.size")).alias("key"))
     sizes = long.select("text", F.explode(F.sequence(n - most_edits, n + most_edits)).alias("n"))
     tried = sizes.select("text", "n", F.explode(_segments(F.col("n"), most_edits)).alias("s")).select("text", "n", "s.part", "s.size", F.explode(F.sequence(F.greatest(F.lit(1), F.col("s.start") - most_edits), F.col("s.start") + most_edits)).alias("start"))
     keyed = tried.select("text", "n", "part", F.substring("text", F.col("start"), F.col("size")).alias("key")).distinct()
-    both = short.unionByName(keyed.join(own, ["n", "part", "key"]).select("text", "match"))
-    edits = F.levenshtein("text", "match")
-    return both.where("text <> match").distinct().withColumn("edits", edits).where(F.col("edits") <= most_edits)
+    far = keyed.join(own, ["n", "part", "key"]).where("text <> match").select(F.least("text", "match").alias("text"), F.greatest("text", "match").alias("match"))
+    # A pair is made and verified once, and given both ways.
+    near = short.unionByName(far).distinct().withColumn("edits", F.levenshtein("text", "match")).where(F.col("edits") <= most_edits)
+    ways = F.array(F.struct("text", "match", "edits"), F.struct(F.col("match").alias("text"), F.col("text").alias("match"), "edits"))
+    return near.select(F.explode(ways).alias("w")).select("w.*")
 
 
 def close_match(texts: DataFrame, most_edits: int = 2) -> DataFrame:
