@@ -12,8 +12,12 @@ from . import choices as C
 
 
 def comma_fallback(completion: Column | str, answer: Column | str, n: int = 3) -> Column:
-    """The first n parts between commas that are not the answer in any case; none of a null completion."""
-    parts = F.transform(F.split(F.coalesce(X.col(completion), F.lit("")), ","), X.strip)
+    """The first n parts between commas that are not the answer in any case; none of a null completion. An answer that has
+    commas itself is cut out whole where it stands between commas, so no piece of it is left as a part."""
+    own = F.concat(F.lit(r"(?iu)(^|,)\s*\Q"), F.replace(X.strip(answer), F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E\s*(?=,|$)"))
+    text = F.coalesce(X.col(completion), F.lit(""))
+    rest = F.when(F.contains(X.col(answer), F.lit(",")), F.regexp_replace(text, own, "$1")).otherwise(text)
+    parts = F.transform(F.split(rest, ","), X.strip)
     return F.slice(F.filter(parts, lambda p: (p != "") & (F.lower(p) != F.lower(X.col(answer)))), 1, n)
 
 
