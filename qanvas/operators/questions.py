@@ -84,12 +84,12 @@ def best_type(scores: dict[str, Column]) -> Column:
 
 
 def first_type(c: Column | str) -> Column:
-    """The oldest rule: a cascade."""
+    """The oldest rule: a cascade. Words, their edges and the cases of letters are those of the SQL: white space without
+    the vertical tab, edges between letters of ASCII and anything else, cases of all letters."""
     x = X.col(c)
-    return (
-        F.when(x.rlike("•|,|;|and|or") & (X.word_count(c) > 15), "list").when(x.rlike(f"(?i)({L.V1_CHOICE})"), "mc")
-        .when(x.rlike(r"\b(\d{4}|\d{1,2}/\d{1,2}/\d{2,4}|[A-Z][a-z]+ [A-Z][a-z]+)\b"), "short").otherwise("tf")
-    )
+    n_words = F.size(F.filter(F.split(x, r"[ \t\n\f\r]+"), lambda w: w != ""))
+    edged = r"(?<![0-9A-Za-z_])(\d{4}|\d{1,2}/\d{1,2}/\d{2,4}|[A-Z][a-z]+ [A-Z][a-z]+)(?![0-9A-Za-z_])"
+    return F.when(x.rlike("•|,|;|and|or") & (n_words > 15), "list").when(x.rlike(f"(?iu)({L.V1_CHOICE})"), "mc").when(x.rlike(edged), "short").otherwise("tf")
 
 
 def second_scores(c: Column | str, n_sentences: Column, labels: Column, entropy: Column) -> dict[str, Column]:
