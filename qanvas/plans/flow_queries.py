@@ -163,14 +163,15 @@ def stage_outputs(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("stage", "qid", "answer", F.size("options").cast("long").alias("n_options"))
 
 
-@query("""SELECT doc_id, coalesce(CASE WHEN doc_id % 3 > 0 THEN source END, 'Unknown ISBN') AS isbn,
+@query("""SELECT doc_id, coalesce(CASE WHEN doc_id % 3 > 0 THEN source END, 'Unknown ISBN') AS isbn, coalesce(CASE WHEN doc_id % 4 > 0 THEN lang END, 'Unknown Section') AS section,
  coalesce(CASE WHEN doc_id % 5 > 0 THEN CAST(n_chars AS VARCHAR) END, 'Unknown Page') AS page, coalesce(CASE WHEN doc_id % 4 > 0 THEN CAST(doc_id AS VARCHAR) END, 'Unknown ID') AS paragraph_id FROM documents""")
 def source_struct(spark, sf_dir):
-    """Where a question comes from, with defaults for what is unknown."""
+    """Where a question comes from, with defaults for what is unknown. The section stands beside the saved struct, which
+    has the other three."""
     d = table(spark, sf_dir, "documents")
     some = lambda c, k: F.when(F.col("doc_id") % k > 0, F.col(c))
-    rows = d.select("doc_id", some("source", 3).alias("isbn"), some("n_chars", 5).alias("page"), some("doc_id", 4).alias("paragraph_id"))
-    return rows.select("doc_id", Q.source_of("isbn", "page", "paragraph_id").alias("s")).select("doc_id", "s.isbn", "s.page", "s.paragraph_id")
+    rows = d.select("doc_id", some("source", 3).alias("isbn"), F.coalesce(some("lang", 4), F.lit("Unknown Section")).alias("section"), some("n_chars", 5).alias("page"), some("doc_id", 4).alias("paragraph_id"))
+    return rows.select("doc_id", "section", Q.source_of("isbn", "page", "paragraph_id").alias("s")).select("doc_id", "s.isbn", "section", "s.page", "s.paragraph_id")
 
 
 @query(f"""SELECT doc_id, CASE WHEN len({sql_words("text")}) > 64 THEN array_to_string({sql_words("text")}[1:64], ' ') ELSE text END AS prompt FROM documents""")
