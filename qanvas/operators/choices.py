@@ -286,35 +286,130 @@ def _best(k: int, ctx: np.ndarray, distance: np.ndarray, sim: np.ndarray, beta:
     return found
 
 
+#: Pools of no more candidates are searched with the distances of all their pairs at hand.
+SMALL_POOL = 256
+
+
+class _Apart:
+    """The distances of vectors and of their answer (the last one), made when they are asked for: memory goes with the
+    pool, not with its pairs. A cosine with a zero vector is 1, and equal vectors are 0 apart whatever rounding leaves."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        self.x, self.lengths = x, np.linalg.norm(x, axis=1)
+
+    def row(self, i: int, others: slice | np.ndarray) -> np.ndarray:
+        products = self.lengths[others] * self.lengths[i]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            d = 1 - np.where(products == 0, 1.0, self.x[others] @ self.x[i] / products)
+        return np.where(d < 1e-12, 0.0, d)
+
+    def among(self, places: list[int]) -> np.ndarray:
+        at = np.array(places)
+        return np.array([self.row(i, at) for i in at])
+
+
+def _best_apart(k: int, ctx: np.ndarray, x: np.ndarray, sim: np.ndarray, beta: float, gamma: float) -> tuple[int, ...]:
+    """As _best, for pools whose pairs are too many to list; x are the candidates' vectors and the answer's.
+
+    The same search, with a level's bounds computed for all its members at once and taken from the best bound down.
+    The distances of a set are 1 - cos of unit vectors, and a sum of unit vectors has a length of 0 or more: the K
+    members and the answer have a sum of distances of at most K^2 / 2, and less when those chosen already point
+    one way. Of a fixed sum, equal distances have the least sum of inverses."""
+    m, size, pairs = len(ctx), k + 1, k * (k + 1) // 2
+    order = np.argsort(-ctx, kind="stable")
+    c, apart = ctx[order], _Apart(np.concatenate([x[:-1][order], x[-1:]]))
+    lengths = np.where(apart.lengths == 0, 1.0, apart.lengths)
+    unit = apart.x / lengths[:, None]
+    with np.errstate(divide="ignore"):
+        like, away = 1 / sim[order], 1 / apart.row(m, slice(0, m))
+    sums = np.concatenate([[0.0], np.cumsum(c)])
+    most_like = np.append(np.maximum.accumulate(like[::-1])[::-1], 0.0)
+    best, found = -np.inf, ()
+
+    def value(total, inverse, alike):
+        return total + beta * pairs / inverse - gamma * k / alike
+
+    def offer(v: np.ndarray, chosen: tuple[int, ...], places: np.ndarray) -> None:
+        nonlocal best, found
+        v = np.round(v, 12)
+        top = v.max(initial=-np.inf)
+        if len(v) and top >= best:
+            ties = [tuple(sorted(int(order[i]) for i in (*chosen, j))) for j in places[v == top]]
+            found = min(ties if top > best or not found else [found, *ties])
+            best = top
+
+    def grow(chosen: tuple[int, ...], total: float, known: float, inverse: float, alike: float, inv: np.ndarray, whole: np.ndarray) -> None:
+        """known and inverse: the sums of the distances so far and of their inverses; inv: for each place, the sum of its
+        inverse distances to the answer and the chosen; whole: the sum of the unit vectors of these."""
+        left, start = k - len(chosen), chosen[-1] + 1 if chosen else 0
+        places = np.arange(start, m)
+        if left == 1:
+            offer(value(total + c[places], inverse + inv[places], alike + like[places]), chosen, places)
+            return
+        places = places[: m - start - left + 1]
+        rest = left - 1
+        # What the set has if each place comes next.
+        near = unit[places] @ whole
+        own = inverse + inv[places]
+        n_known = (len(chosen) + 1) * (len(chosen) + 2) // 2
+        seen = known + (len(chosen) + 1) - near
+        length = np.sqrt(np.maximum(whole @ whole + 2 * near + 1, 0))
+        most = pairs + (size - np.maximum(length - rest, 0) ** 2) / 2 - seen
+        bound = total + sums[places + left] - sums[places]
+        bound = value(bound, own + (pairs - n_known) ** 2 / np.maximum(most, 1e-9), alike + like[places] + rest * most_like[places + 1])
+        for at in np.argsort(-bound, kind="stable"):
+            if bound[at] < best - 1e-9:
+                break
+            i = int(places[at])
+            with np.errstate(divide="ignore"):
+                longer = inv.copy() if rest else inv
+                longer[i + 1 :] += 1 / apart.row(i, slice(i + 1, m))
+            grow((*chosen, i), total + c[i], float(seen[at]), float(own[at]), float(alike + like[i]), longer, whole + unit[i])
+
+    with np.errstate(divide="ignore"):
+        # A first best set from the most promising candidates, so that little is tried after it.
+        alone = c + beta * np.minimum(1 / np.where(away > 0, away, 1), 2) - gamma * np.where(np.isinf(like), 0, 1 / like)
+        head = np.sort(np.argsort(-alone, kind="stable")[: min(m, 64)])
+        first = _best(k, c[head], apart.among([*head.tolist(), m]), sim[order][head], beta, gamma)
+        best = float(np.round(_objective(tuple(range(k)), c[head[list(first)]], apart.among([*head[list(first)].tolist(), m]), sim[order][head[list(first)]], beta, gamma), 12)) - 1e-11
+        grow((), 0.0, 0.0, 0.0, 0.0, away, unit[m])
+    return found
+
+
 def select_candidates(candidates: DataFrame, k: int = 3, beta: float = 0.3, gamma: float = 0.4, iterations: int = 100, exact: bool = False, seed: int = 0) -> DataFrame:
     """qid, slot, i: k of each question's candidates (qid, i, ctx, sim, embedding, answer) by simulated annealing of the energy
-    (with the distances to the answer, an embedding that is no candidate; the last state is the result), or by a search that misses no subset. Draws depend on the question and the seed alone."""
+    (with the distances to the answer, an embedding that is no candidate; the last state is the result), or by a search that misses no subset. Draws depend on the question and the seed alone.
+
+    A question's pool is one group; its memory goes with the pool. Distances are made when a state asks for them."""
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("i", kind="stable")
         m, qid = len(pdf), pdf["qid"].iloc[0]
         ctx, sim = pdf["ctx"].to_numpy(float), pdf["sim"].to_numpy(float)
         x = np.array([*pdf["embedding"], pdf["answer"].iloc[0]], dtype=float)
-        lengths = np.linalg.norm(x, axis=1)
-        products = np.outer(lengths, lengths)
-        distance = 1 - np.where(products == 0, 1.0, x @ x.T / np.where(products == 0, 1, products))
-        # Equal vectors are 0 apart, whatever rounding leaves of it.
-        distance = np.where(distance < 1e-12, 0.0, distance)
-        value = lambda s: _objective(s, ctx, distance, sim, beta, gamma)
+        names = pdf["i"].to_numpy()
+        del pdf
+        apart = _Apart(x)
         state = tuple(range(min(k, m)))
         if m > k and exact:
-            state = _best(k, ctx, distance, sim, beta, gamma)
+            state = _best(k, ctx, apart.among([*range(m + 1)]), sim, beta, gamma) if m <= SMALL_POOL else _best_apart(k, ctx, x, sim, beta, gamma)
         elif m > k:
+
+            def value(s: tuple[int, ...]) -> float:
+                own = list(s)
+                return _objective(tuple(range(k)), ctx[own], apart.among([*own, m]), sim[own], beta, gamma)
+
             rng = np.random.default_rng([seed, abs(hash(int(qid))) % (1 << 32)])
             for step in range(iterations):
                 heat = 1 - step / iterations
-                free = [i for i in range(m) if i not in state]
-                at, new = int(rng.integers(k)), free[int(rng.integers(len(free)))]
+                at, new = int(rng.integers(k)), int(rng.integers(m - k))
+                for taken in sorted(state):  # the new-th place of those that are free
+                    new += taken <= new
                 other = (*state[:at], new, *state[at + 1 :])
                 gain = value(other) - value(state)
                 if gain > 0 or np.exp(max(gain / heat, -50)) > rng.random():
                     state = other
-        return pd.DataFrame({"qid": qid, "slot": range(1, len(state) + 1), "i": pdf["i"].to_numpy()[list(state)]})
+        return pd.DataFrame({"qid": qid, "slot": range(1, len(state) + 1), "i": names[list(state)]})
 
     return candidates.groupBy("qid").applyInPandas(choose, "qid long, slot int, i long")
 

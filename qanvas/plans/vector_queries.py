@@ -31,10 +31,11 @@ def scored(spark, sf_dir, with_answer: bool = True):
     in the SQL, or none."""
     rows = pool(spark, sf_dir)
     answers = rows.groupBy("qid").agg(F.min(F.struct("i", "embedding")).alias("a")).select("qid", F.col("a.i").alias("answer_i"), F.col("a.embedding").alias("answer"))
-    rows = rows.join(answers, "qid").where(F.lit(with_answer) | (F.col("i") != F.col("answer_i"))).withColumns({"cos": V.cosine("embedding", "answer"), "p_sentence": (F.col("i") % 97 + 1) / 100.0, "p_passage": (F.col("i") % 89 + 1) / 90.0})
-    w = Window.partitionBy("qid")
-    ctx = V.context_score(F.col("p_sentence"), F.col("p_passage"), 0.4)
-    rows = rows.withColumn("raw", ctx).withColumns({"ctx": V.min_max(F.col("raw"), F.min("raw").over(w), F.max("raw").over(w)), "sim": V.min_max(F.col("cos"), F.min("cos").over(w), F.max("cos").over(w))})
+    p_sentence, p_passage = (F.col("i") % 97 + 1) / 100.0, (F.col("i") % 89 + 1) / 90.0
+    # Native scores first; a label's extremes are a grouped sum that is joined again, so no window holds its vectors.
+    rows = rows.join(answers, "qid").where(F.lit(with_answer) | (F.col("i") != F.col("answer_i"))).withColumns({"cos": V.cosine("embedding", "answer"), "p_sentence": p_sentence, "p_passage": p_passage, "raw": V.context_score(p_sentence, p_passage, 0.4)})
+    edges = rows.groupBy("qid").agg(F.min("raw").alias("low"), F.max("raw").alias("high"), F.min("cos").alias("least"), F.max("cos").alias("most"))
+    rows = rows.join(edges, "qid").withColumns({"ctx": V.min_max(F.col("raw"), F.col("low"), F.col("high")), "sim": V.min_max(F.col("cos"), F.col("least"), F.col("most"))})
     return rows.select("qid", "i", "embedding", "cos", "p_sentence", "p_passage", "raw", "ctx", "sim", "answer")
 
 
