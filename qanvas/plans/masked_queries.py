@@ -58,8 +58,10 @@ def questions(spark, sf_dir):
     each = F.sequence(F.lit(0), F.lit(size - 1))
     p = lambda a, b, m: F.transform(each, lambda t: (1 + (F.col("qid") * a + t * b) % m) / F.lit(float(m + 1)))
     passage = F.array_join(F.transform("words", lambda w, i: F.when(i == 1, "<mask>").otherwise(w)), " ")
-    rows = turns.withColumns({"answer": F.get("words", F.lit(1)), "passage": passage, "p_sentence": p(131, 977, 997), "p_passage": p(61, 389, 991)})
-    return with_vectors(spark, sf_dir, rows.withColumn("word", F.col("answer"))).drop("word")
+    rows = turns.withColumns({"answer": F.get("words", F.lit(1)), "passage": passage})
+    # Probabilities are as long as the vocabulary, so they come behind the join: none goes through a shuffle.
+    rows = with_vectors(spark, sf_dir, rows.withColumn("word", F.col("answer"))).drop("word")
+    return rows.withColumns({"p_sentence": p(131, 977, 997), "p_passage": p(61, 389, 991)})
 
 
 _VECTOR = f"{sql_hash('embed', 'lower(word)')} % (SELECT count(*) FROM embeddings)"
