@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,15 +184,21 @@ def with_likeliest(states: DataFrame, allowed: dict[str, list[bool]], width: int
     """states (p, the probabilities of all tokens) without p, and with a column of the likeliest tokens for each set."""
     kept = [c for c in states.columns if c != "p"]
     may = {name: np.flatnonzero(np.asarray(x, dtype=bool)) for name, x in allowed.items()}
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = [np.asarray([] if x is None else x, dtype=float) for x in pdf["p"]]
-            yield pdf[kept].assign(**{name: [likeliest(x, tokens, width) for x in rows] for name, tokens in may.items()})
+    kind = pa.list_(pa.struct([("token", pa.int32()), ("p", pa.float64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows of probabilities are views of the batch, so it is held once, and a lot at a time goes back.
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                lot = batch.slice(at, 1000)
+                p = lot.column("p")
+                rows = [p[i].values.to_numpy(zero_copy_only=False) if p[i].is_valid else np.zeros(0) for i in range(len(p))]
+                best = [pa.array([likeliest(x, tokens, width) for x in rows], kind) for tokens in may.values()]
+                yield pa.RecordBatch.from_arrays([*[lot.column(c) for c in kept], *best], [*kept, *may])
 
     kinds = dict(states.dtypes)
     schema = ", ".join([*[f"{c} {kinds[c]}" for c in kept], *[f"{name} array<struct<token:int,p:double>>" for name in allowed]])
-    return states.mapInPandas(run, schema)
+    return states.mapInArrow(run, schema)
 
 
 def beam_suffixes(asked: DataFrame, pieces: list[tuple[str, bool]], words: DataFrame, score: Callable[[DataFrame], DataFrame], width: int = 5) -> DataFrame:
