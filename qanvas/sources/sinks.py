@@ -14,11 +14,17 @@ def canonical(*columns: str) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]))
 
 
+def digest(*columns: str) -> Column:
+    """32 bytes (SHA-256) that stand for a record: equal records, and no others, have equal ones."""
+    return F.unhex(F.sha2(canonical(*columns), 256))
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame) -> DataFrame:
-    """Distinct incoming records that are not among the existing; appending them twice is appending them once."""
+    """Distinct incoming records that are not among the existing; appending them twice is appending them once. Records are
+    held together by their digests, so existing ones go through no shuffle as they are."""
     columns = incoming.columns
-    fresh = incoming.withColumn("canon", canonical(*columns)).dropDuplicates(["canon"])
-    known = existing.select(canonical(*columns).alias("canon")).distinct()
+    fresh = incoming.withColumn("canon", digest(*columns)).dropDuplicates(["canon"])
+    known = existing.select(digest(*columns).alias("canon")).distinct()
     return fresh.join(known, "canon", "left_anti").select(*columns)
 
 
