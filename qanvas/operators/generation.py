@@ -31,6 +31,22 @@ def scored_paragraphs(paragraphs: DataFrame, annotate=None) -> DataFrame:
     return rows.select(*PARAGRAPH, *[s.cast("double").alias(f"score_{t}") for t, s in scores.items()], *[c.alias(k) for k, c in draws.items()])
 
 
+def key_of() -> Column:
+    """What a paragraph is known by while its text is elsewhere: a digest of its book, position and text."""
+    return F.md5(F.to_json(F.struct("isbn", "position", "text")))
+
+
+def without_texts(scored: DataFrame) -> DataFrame:
+    """Scored paragraphs with key instead of text: the balance is a fold of small rows, and a book's go through one task."""
+    return scored.withColumn("key", key_of()).drop("text")
+
+
+def with_texts(assigned: DataFrame, paragraphs: DataFrame) -> DataFrame:
+    """Assigned paragraphs without_texts, with their texts from all paragraphs."""
+    texts = paragraphs.select(key_of().alias("key"), "text").dropDuplicates(["key"])
+    return assigned.join(texts, "key").drop("key")
+
+
 def parsed(kind: Column | str, completion: Column | str, source: Column | str) -> Column:
     """The record in a completion, by the parser of its type, with its source, as JSON with sorted fields; null where the
     completion has no such record or the type is unknown. Only the parser of a row's own type is run, once."""
@@ -67,5 +83,5 @@ def asked(assigned: DataFrame, templates: DataFrame, generate: Generate) -> Data
 
 def generated(paragraphs: DataFrame, templates: DataFrame, generate: Generate, annotate=None, threshold: int = 10) -> DataFrame:
     """SAVED of all paragraphs, a fold of the balance for each book, distinct: what a stream over them comes to."""
-    folded = Q.balanced(scored_paragraphs(paragraphs, annotate), ["isbn"], ["position"], threshold)
-    return asked(folded, templates, generate).distinct()
+    folded = Q.balanced(without_texts(scored_paragraphs(paragraphs, annotate)), ["isbn"], ["position"], threshold)
+    return asked(with_texts(folded, paragraphs), templates, generate).distinct()

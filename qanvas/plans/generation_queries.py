@@ -82,7 +82,8 @@ def streamed(spark, sf_dir, folder: str, parts: int = 3) -> None:
     for i in range(parts):
         S.move(spark, f"{folder}/staged/part={i}", f"{folder}/in/{i}")
         source = spark.readStream.schema(rows.schema).parquet(f"{folder}/in/*")
-        T.generate_stream(source, templates(spark), completed, folder).awaitTermination()
+        texts = spark.read.schema(rows.schema).parquet(f"{folder}/in/*")
+        T.generate_stream(source, templates(spark), completed, folder, texts=texts).awaitTermination()
 
 
 @query(_RECORDS)

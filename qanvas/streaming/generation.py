@@ -30,16 +30,19 @@ def _earlier(spark: SparkSession, path: str, schema: str, batch: int | None = No
     return rows if batch is None else rows.where(F.col("batch") < batch)
 
 
-def sink(folder: str, templates: DataFrame, generate: G.Generate) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function for assigned paragraphs."""
+def sink(folder: str, templates: DataFrame, generate: G.Generate, texts: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function for assigned paragraphs; texts: paragraphs that have the texts of those that came without.
+    The batch is run once, for what is kept of it; all else is read from there."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         put = lambda rows, what: rows.write.mode("overwrite").parquet(f"{folder}/{what}/batch={number}")
-        put(batch.select("isbn", "paragraph_id", "assigned"), "assigned")
+        put(batch, "assigned")
+        rows = spark.read.schema(batch.schema).parquet(f"{folder}/assigned/batch={number}")
+        rows = rows if texts is None else G.with_texts(rows, texts)
         columns = ["type", "isbn", "record"]
         known = _earlier(spark, f"{folder}/questions", G.SAVED, number).select(*columns)
-        put(S.new_rows(G.asked(batch, templates, generate), known), "questions")
+        put(S.new_rows(G.asked(rows, templates, generate), known), "questions")
         # From here on the batch's own files are read, so completions are made once.
         own = spark.read.schema(G.SAVED).parquet(f"{folder}/questions/batch={number}")
         listed = _earlier(spark, f"{folder}/manifest", MANIFEST, number).drop("batch")
@@ -50,12 +53,14 @@ def sink(folder: str, templates: DataFrame, generate: G.Generate) -> Callable[[D
     return write
 
 
-def generate_stream(paragraphs: DataFrame, templates: DataFrame, generate: G.Generate, folder: str, annotate=None, threshold: int = 10):
+def generate_stream(paragraphs: DataFrame, templates: DataFrame, generate: G.Generate, folder: str, annotate=None, threshold: int = 10, texts: DataFrame | None = None):
     """Start the flow over a stream of paragraphs (G.PARAGRAPH) and return the running query, which ends when all that is
-    there has been read. Books must come in order of position, cut into batches anywhere."""
+    there has been read. Books must come in order of position, cut into batches anywhere. texts: the same paragraphs to
+    read again, as files; with them the fold of a book has no texts in it, without them it holds those of a batch."""
     scored = G.scored_paragraphs(paragraphs, annotate)
-    rows = balanced_stream(scored, "isbn", "position", threshold, carry=["paragraph_id", "page", "text"])
-    out = rows.writeStream.foreachBatch(sink(folder, templates, generate))
+    scored, own = (scored, "text") if texts is None else (G.without_texts(scored), "key")
+    rows = balanced_stream(scored, "isbn", "position", threshold, carry=["paragraph_id", "page", own])
+    out = rows.writeStream.foreachBatch(sink(folder, templates, generate, texts))
     return out.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
 
 
