@@ -59,6 +59,17 @@ def _segments(n: Column, edits: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(edits)), lambda i: F.struct(i.alias("part"), (i * size + 1).alias("start"), F.when(i == edits, n - edits * size).otherwise(size).alias("size")))
 
 
+def _by_parts(tried: DataFrame, whole: DataFrame, most_edits: int) -> DataFrame:
+    """text, match: of long texts (text), those tried and those whole of which a part stands in them near its place."""
+    n = F.length("text")
+    own = whole.select(F.col("text").alias("match"), F.length("text").alias("n"), F.explode(_segments(n, most_edits)).alias("s"))
+    own = own.select("match", "n", "s.part", F.substring("match", F.col("s.start"), F.col("s.size")).alias("key"))
+    sizes = tried.select("text", F.explode(F.sequence(n - most_edits, n + most_edits)).alias("n"))
+    places = sizes.select("text", "n", F.explode(_segments(F.col("n"), most_edits)).alias("s")).select("text", "n", "s.part", "s.size", F.explode(F.sequence(F.greatest(F.lit(1), F.col("s.start") - most_edits), F.col("s.start") + most_edits)).alias("start"))
+    keyed = places.select("text", "n", "part", F.substring("text", F.col("start"), F.col("size")).alias("key")).distinct()
+    return keyed.join(own, ["n", "part", "key"]).where("text <> match").select("text", "match")
+
+
 def close_pairs(texts: DataFrame, most_edits: int = 2) -> DataFrame:
     """text, match, edits: all pairs of different texts (text, distinct and not empty) within most_edits edits, both ways.
 
@@ -70,12 +81,7 @@ def close_pairs(texts: DataFrame, most_edits: int = 2) -> DataFrame:
     rests = texts.where(n <= SHORT_TEXT + most_edits).select("text", F.explode(_neighbourhood(F.col("text"), most_edits)).alias("key"))
     short = rests.join(rests.select(F.col("text").alias("match"), "key"), "key").where("text < match").select("text", "match")
     long = texts.where(n > SHORT_TEXT)
-    own = long.select(F.col("text").alias("match"), F.length("text").alias("n"), F.explode(_segments(n, most_edits)).alias("s"))
-    own = own.select("match", "n", "s.part", F.substring("match", F.col("s.start"), F.col("s.size")).alias("key"))
-    sizes = long.select("text", F.explode(F.sequence(n - most_edits, n + most_edits)).alias("n"))
-    tried = sizes.select("text", "n", F.explode(_segments(F.col("n"), most_edits)).alias("s")).select("text", "n", "s.part", "s.size", F.explode(F.sequence(F.greatest(F.lit(1), F.col("s.start") - most_edits), F.col("s.start") + most_edits)).alias("start"))
-    keyed = tried.select("text", "n", "part", F.substring("text", F.col("start"), F.col("size")).alias("key")).distinct()
-    far = keyed.join(own, ["n", "part", "key"]).where("text <> match").select(F.least("text", "match").alias("text"), F.greatest("text", "match").alias("match"))
+    far = _by_parts(long, long, most_edits).select(F.least("text", "match").alias("text"), F.greatest("text", "match").alias("match"))
     # A pair is made and verified once, and given both ways.
     near = short.unionByName(far).distinct().withColumn("edits", F.levenshtein("text", "match")).where(F.col("edits") <= most_edits)
     ways = F.array(F.struct("text", "match", "edits"), F.struct(F.col("match").alias("text"), F.col("text").alias("match"), "edits"))
@@ -83,9 +89,24 @@ def close_pairs(texts: DataFrame, most_edits: int = 2) -> DataFrame:
 
 
 def close_match(texts: DataFrame, most_edits: int = 2) -> DataFrame:
-    """text, match: the nearest other text within most_edits edits, ties to the smallest."""
+    """text, match: the nearest other text within most_edits edits, ties to the smallest. Texts that have one within fewer
+    edits are done with it: only the others are held against all texts by more edits, which leave many more rests."""
     t = texts.select("text").where("text <> ''").distinct()
-    return close_pairs(t, most_edits).groupBy("text").agg(F.min(F.struct("edits", "match")).alias("m")).select("text", F.col("m.match").alias("match"))
+    nearest = lambda pairs: pairs.groupBy("text").agg(F.min(F.struct("edits", "match")).alias("m")).select("text", F.col("m.match").alias("match"))
+    if most_edits < 2:
+        return nearest(close_pairs(t, most_edits))
+    done = close_match(t, most_edits - 1)
+    left = t.join(done.select("text"), "text", "left_anti")
+    return done.unionByName(nearest(_close_to(left, t, most_edits)))
+
+
+def _close_to(asked: DataFrame, texts: DataFrame, most_edits: int) -> DataFrame:
+    """text, match, edits: the pairs of close_pairs whose text is among asked, one way."""
+    n = F.length("text")
+    rests = lambda df: df.where(n <= SHORT_TEXT + most_edits).select("text", F.explode(_neighbourhood(F.col("text"), most_edits)).alias("key"))
+    short = rests(asked).join(rests(texts).withColumnRenamed("text", "match"), "key").where("text <> match").select("text", "match")
+    far = _by_parts(asked.where(n > SHORT_TEXT), texts.where(n > SHORT_TEXT), most_edits)
+    return short.unionByName(far).distinct().withColumn("edits", F.levenshtein("text", "match")).where(F.col("edits") <= most_edits)
 
 
 def with_passage(questions: DataFrame, paragraphs: DataFrame) -> DataFrame:
