@@ -1,6 +1,6 @@
 """Sales enriched with the version of their client that was valid when they were made, as a stateful stream.
 
-Rows go to buckets by a hash of the client. A bucket is the key of `transformWithStateInPandas`; one tick a bucket and
+Rows go to buckets by a hash of the client. A bucket is the key of `applyInPandasWithState`; one tick a bucket and
 batch wakes it even if nothing else arrives, and carries the watermarks. A bucket's state is columns of numbers, sorted
 by client, time and id, for all its clients: their unpruned versions, and the sales that wait. A sale is resolved by one
 `searchsorted` over composite ranks (client, time) for the whole bucket; no row is visited in Python.
@@ -27,7 +27,7 @@ by nobody; null or non-finite balances give null cents; extra columns are ignore
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .common import cut, fresh_path
 
@@ -47,12 +47,11 @@ STATE = "versions binary, operations string, waiting binary"
 #: Slices of a hot client are cut at some of so many quantiles.
 QUANTILES = 1024
 _CONF = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # A query runs once a start, so what it has loaded is of no use to the next: stores are closed with their tasks, and reserve no disk.
-    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
-    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
-    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # Each store that RocksDB opens leaves native memory behind (its statistics, some 60 KB a core of the machine), and each
+    # start opens one a partition. The store of files keeps nothing outside the heap, and there only what its task reads.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    # A query runs once a start, so what it has loaded is of no use to the next.
+    "spark.sql.streaming.maxBatchesToRetainInMemory": "0",
     # The store's own checksums are enough; a second file beside each of many small ones is not.
     "spark.sql.streaming.checkpoint.fileChecksum.enabled": "false",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "100000",
@@ -156,31 +155,24 @@ def _frame(rec: str, ids, batch: int, client=NULL, part=-1, n_held=NULL, change=
     return pd.DataFrame(columns, index=range(len(ids)))
 
 
-class Enrichment(StatefulProcessor):
+def enriched(last: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
     """A tick's batch over one bucket."""
 
-    def __init__(self, last: int) -> None:
-        self.last = last
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("bucket", STATE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def of_bucket(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         came = pd.concat(list(rows), ignore_index=True)
         kind = came["kind"].to_numpy()
         tick = came[kind == TICK].iloc[0]
         column = lambda name: came[name].to_numpy(dtype=np.int64)
         numbers = np.vstack([column(c) for c in ("client", "slice", "t", "id", "cents")])
         op = came["op"].to_numpy(dtype=object)[kind == VERSION]
-        bucket = Bucket.load(*self.state.get()) if self.state.exists() else Bucket()
+        bucket = Bucket.load(*state.get) if state.exists else Bucket()
         yield from bucket.step(
-            int(tick["batch"]), int(tick["mark"]), int(tick["held"]), int(tick["before"]), int(tick["batch"]) == self.last,
+            int(tick["batch"]), int(tick["mark"]), int(tick["held"]), int(tick["before"]), int(tick["batch"]) == last,
             numbers[:, kind == VERSION], np.where(pd.isna(op), None, op), numbers[:4, kind == SALE],
         )
-        self.state.update(bucket.dump())
+        state.update(bucket.dump())
 
-    def close(self) -> None:
-        pass
+    return of_bucket
 
 
 def micros(c: Column) -> Column:
@@ -294,7 +286,7 @@ def emissions(sales: DataFrame, changes: DataFrame, folder: str, batches: int, f
         for b in range(batches + 1):
             _move(spark, f"{folder}/staged/part={b}", f"{folder}/in/{b}")
             arrived = spark.readStream.schema(ROWS).parquet(f"{folder}/in/*")
-            out = arrived.groupBy("bucket").transformWithStateInPandas(Enrichment(batches), OUT, "Append", "None")
+            out = arrived.groupBy("bucket").applyInPandasWithState(enriched(batches), OUT, STATE, "append", GroupStateTimeout.NoTimeout)
             run = out.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
             run.awaitTermination()
     return spark.read.schema(OUT).parquet(f"{folder}/out")

@@ -155,3 +155,12 @@ def test_micros_need_no_zone(spark):
         assert df.select(E.micros(df["t"]).alias("m")).first()["m"] == int((t - datetime(1970, 1, 1)) / timedelta(microseconds=1))
     finally:
         spark.conf.set("spark.sql.session.timeZone", was)
+
+
+def test_no_start_opens_a_store_that_leaves_native_memory_behind(few, tmp_path):
+    """RocksDB's statistics stay in native memory with each store that is opened, one a partition and start."""
+    sales, changes = shop(3, 40, 30, 3)
+    s, v = few.createDataFrame([tuple(r.values()) for r in sales], SALES), few.createDataFrame([tuple(r.values()) for r in changes], CHANGES)
+    E.emissions(s, v, str(tmp_path / "run"), 2, 19723, 152, 0, 2, 16)
+    kept = [p.name for p in (tmp_path / "run" / "state" / "state").rglob("*") if p.is_file() and not p.name.startswith(".")]
+    assert any(n.endswith(".delta") for n in kept) and not any(n.endswith((".zip", ".changelog", ".sst")) for n in kept)
