@@ -47,7 +47,7 @@ STATE = "versions binary, operations string, waiting binary"
 #: Slices of a hot client are cut at some of so many quantiles.
 QUANTILES = 1024
 _CONF = {
-    # Each store that RocksDB opens leaves native memory behind (its statistics, some 60 KB a core of the machine), and each
+    # Each store that RocksDB opens leaves native memory behind (RocksDB.close there closes no statistics), and each
     # start opens one a partition. The store of files keeps nothing outside the heap, and there only what its task reads.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
     # A query runs once a start, so what it has loaded is of no use to the next.
